@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import quality_rules, url_filter
+from . import exact_dedup, pii, quality_rules, url_filter
 
-MODULES = (url_filter, quality_rules)
+MODULES = (url_filter, quality_rules, exact_dedup, pii)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLES = {k: s for m in MODULES for k, s in m.ORACLES.items()}
