@@ -11,7 +11,8 @@ vocabulary and puts the bytes together by ordered aggregation.
 Encoded pieces are kept from batch to batch in the worker, up to
 `CACHE_PIECES`; when more have come, the store starts anew. Memory so stays
 bounded however large the partition is. A null text counts as empty: no ids,
-no bytes. Empty tables give empty results; repeated rows and null ids are
+no bytes. Pieces of more than `LONG` bytes, which no prose holds, would need a
+step for each byte and are contracted in the same order with a heap. Empty tables give empty results; repeated rows and null ids are
 encoded row by row, other columns are ignored. Whole texts are encoded.
 """
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import re
 
 import duckdb
@@ -31,44 +33,53 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import map_arrow, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 700_000
 #: Words to a recursive query.
-WORDS = 20_000
+WORDS = 50_000
+#: Bytes from which a piece is merged with a heap instead: the query contracts one pair a step, so a step for each byte.
+LONG = 256
+#: Documents that are encoded together.
+BATCH = 500
 
 #: A space before a character that is no white space starts a new match whatever stands around it.
 _CUT_TWICE = re.compile(r" (?:\s|$)")
 
-_STEP = """
-WITH RECURSIVE state(word, pos, token, live) AS (
-    SELECT word, pos, token, true FROM spelled
+#: Spreads (rank, position) over one integer, so that its minimum is the leftmost pair of least rank.
+_KEY = "merged::BIGINT * 1099511627776 + pos"
+
+ENCODE = f"""
+WITH RECURSIVE state(word, pos, token, next, nextpos, merged, done) AS (
+    SELECT s.word, s.pos, s.token, s.next, s.nextpos, m.merged, false
+    FROM (
+      SELECT word, pos, token, lead(token) OVER w AS next, lead(pos) OVER w AS nextpos
+      FROM spelled WINDOW w AS (PARTITION BY word ORDER BY pos)
+    ) s LEFT JOIN merges m ON m.a = s.token AND m.b = s.next
   UNION ALL
-    SELECT word, pos, CASE WHEN pos = best_pos THEN best_token ELSE token END, best_pos IS NOT NULL
+    SELECT n.word, n.pos, n.token, n.next, n.nextpos, m.merged, n.done
     FROM (
-      SELECT word, pos, token,
-             lag(pos) OVER w AS before,
-             arg_min(CASE WHEN merged IS NOT NULL THEN pos END, {key}) OVER (PARTITION BY word) AS best_pos,
-             min(merged) OVER (PARTITION BY word) AS best_token
-      FROM (
-        SELECT n.word, n.pos, n.token, m.merged
+      SELECT s.word, s.pos,
+             CASE WHEN s.pos = best.pos THEN best.token ELSE s.token END AS token,
+             CASE WHEN s.pos = best.pos THEN best.next WHEN s.nextpos = best.pos THEN best.token ELSE s.next END AS next,
+             CASE WHEN s.pos = best.pos THEN best.nextpos ELSE s.nextpos END AS nextpos,
+             best.word IS NULL AS done
+      FROM (SELECT * FROM state WHERE NOT done) s
+      LEFT JOIN (
+        SELECT x.word, x.pos, x.token, y.pos AS gone, y.next, y.nextpos
         FROM (
-          SELECT word, pos, token, lead(token) OVER (PARTITION BY word ORDER BY pos) AS next
-          FROM state WHERE live
-        ) n LEFT JOIN merges m ON m.a = n.token AND m.b = n.next
-      )
-      WINDOW w AS (PARTITION BY word ORDER BY pos)
-    )
-    WHERE best_pos IS NULL OR before IS DISTINCT FROM best_pos
+          SELECT word, arg_min(pos, {_KEY}) AS pos, arg_min(merged, {_KEY}) AS token, arg_min(nextpos, {_KEY}) AS gone
+          FROM state WHERE NOT done AND merged IS NOT NULL GROUP BY word
+        ) x JOIN (SELECT * FROM state WHERE NOT done) y ON y.word = x.word AND y.pos = x.gone
+      ) best ON best.word = s.word
+      WHERE best.word IS NULL OR s.pos <> best.gone
+    ) n LEFT JOIN merges m ON m.a = n.token AND m.b = n.next
 )
-SELECT word, list(token ORDER BY pos) AS ids FROM state WHERE NOT live GROUP BY word
+SELECT word, pos, token FROM state WHERE done
 """
-# the key orders pairs by rank, which is the merged token's id, and then by position
-ENCODE = _STEP.format(key="CASE WHEN merged IS NOT NULL THEN merged * 1000000000 + pos END")
 
 DECODE = """
-SELECT s.seg, string_agg(v.hexed, '' ORDER BY s.pos) AS hexed
-FROM (SELECT seg, unnest(ids) AS token, generate_subscripts(ids, 1) AS pos FROM coded) s
-JOIN vocabulary v ON v.token = s.token
-GROUP BY s.seg
+SELECT c.word, string_agg(c.token::VARCHAR, ' ' ORDER BY c.pos) AS ids, string_agg(v.hexed, '' ORDER BY c.pos) AS hexed
+FROM coded c JOIN vocabulary v ON v.token = c.token
+GROUP BY c.word
 """
 
 
@@ -79,97 +90,107 @@ class Codec:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.single = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int64)
+        self.single = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
         pairs = [(self.ranks[t[:i]], self.ranks[t[i:]], rank) for t, rank in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
-        a, b, merged = (pa.array(x, pa.int64()) for x in zip(*pairs, strict=True))
-        self._store("merges", pa.table({"a": a, "b": b, "merged": merged}))
-        tokens = sorted((rank, t.hex()) for t, rank in self.ranks.items())
-        self._store("vocabulary", pa.table({"token": pa.array([x for x, _ in tokens], pa.int64()), "hexed": pa.array([x for _, x in tokens], pa.string())}))
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.codes: dict[str, str] = {}
-        self.decoded: dict[str, bytes] = {}
-
-    def _store(self, name: str, rows: pa.Table) -> None:
-        self.db.register("incoming", rows)
-        self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM incoming")
+        self._store("merges", dict(zip(("a", "b", "merged"), (np.array(x, dtype=np.int32) for x in zip(*pairs, strict=True)), strict=True)))
+        tokens = sorted((rank, t) for t, rank in self.ranks.items())
+        self._store("vocabulary", {"token": np.array([x for x, _ in tokens], dtype=np.int32), "hexed": [t.hex() for _, t in tokens]})
+        self.pieces: dict[str, tuple[str, bytes]] = {}
+        self.plain: dict[str, tuple[str, bytes]] = {}
+        self.spaced: dict[str, tuple[str, bytes]] = {}
+
+    def _store(self, name: str, columns: dict) -> None:
+        self.db.register("incoming", pa.table(columns))
+        self.db.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM incoming")
         self.db.unregister("incoming")
 
+    def _merge_long(self, raw: bytes) -> list[int]:
+        """The same contraction for one long piece: linked tokens and a heap of pairs by (rank, place)."""
+        token = [int(self.single[c]) for c in raw]
+        part = [raw[i : i + 1] for i in range(len(raw))]
+        after, before = list(range(1, len(raw) + 1)), list(range(-1, len(raw) - 1))
+        end, heap = len(raw), []
+
+        def offer(i: int) -> None:
+            if i >= 0 and after[i] < end and (rank := self.ranks.get(part[i] + part[after[i]])) is not None:
+                heapq.heappush(heap, (rank, i, len(part[i]), len(part[after[i]])))
+
+        for i in range(end - 1):
+            offer(i)
+        while heap:
+            rank, i, x, y = heapq.heappop(heap)
+            if not part[i] or len(part[i]) != x or after[i] >= end or len(part[after[i]]) != y:
+                continue
+            j = after[i]
+            token[i], part[i], part[j], after[i] = rank, part[i] + part[j], b"", after[j]
+            if after[i] < end:
+                before[after[i]] = i
+            offer(before[i])
+            offer(i)
+        return [t for t, p in zip(token, part, strict=True) if p]
+
+    def _coded(self, names: list[str], word: np.ndarray, pos: np.ndarray, token: np.ndarray) -> None:
+        """Keep the ids of words, and the bytes that they decode to."""
+        self._store("coded", {"word": word, "pos": pos, "token": token})
+        for w, ids, hexed in self.db.execute(DECODE).fetchall():
+            self.pieces[names[w]] = (ids, bytes.fromhex(hexed))
+
     def encode_pieces(self, pieces: list[str]) -> None:
-        """Fill `known` for distinct pieces: the whole piece's rank, or the merges' fixpoint."""
-        spell = []
+        """Fill `pieces` for distinct pieces: the whole piece's rank, or the merges' fixpoint."""
+        whole, spell, long = [], [], []
         for p in pieces:
             raw = p.encode("utf-8", "surrogatepass")
-            rank = self.ranks.get(raw)
-            if rank is None:
-                spell.append((p, raw))
-            else:
-                self.known[p] = (rank,)
+            (whole if raw in self.ranks else spell if len(raw) <= LONG else long).append((p, raw))
+        zeros = np.zeros(len(whole), dtype=np.int32)
+        self._coded([p for p, _ in whole], np.arange(len(whole), dtype=np.int32), zeros, np.array([self.ranks[raw] for _, raw in whole], dtype=np.int32))
+        for p, raw in long:
+            ids = np.array(self._merge_long(raw), dtype=np.int32)
+            self._coded([p], np.zeros(len(ids), dtype=np.int32), np.arange(len(ids), dtype=np.int32), ids)
         spell.sort(key=lambda x: len(x[1]))
-        at = 0
-        while at < len(spell):
-            size = max(1, min(WORDS, 400_000 // max(1, len(spell[min(at + WORDS, len(spell)) - 1][1]))))
-            part = spell[at : at + size]
-            at += len(part)
+        for at in range(0, len(spell), WORDS):
+            part = spell[at : at + WORDS]
             lengths = np.array([len(raw) for _, raw in part])
-            word = np.repeat(np.arange(len(part)), lengths)
-            pos = np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            word = np.repeat(np.arange(len(part), dtype=np.int32), lengths)
+            pos = (np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
             token = self.single[np.frombuffer(b"".join(raw for _, raw in part), dtype=np.uint8)]
-            self._store("spelled", pa.table({"word": word, "pos": pos, "token": token}))
-            out = self.db.execute(ENCODE).to_arrow_table()
-            ids = out["ids"].to_pylist()
-            for w, x in zip(out["word"].to_pylist(), ids, strict=True):
-                self.known[part[w][0]] = tuple(x)
-
-    def segments(self, text: str) -> list[str]:
-        """Parts of a text whose matches do not depend on each other."""
+            self._store("spelled", {"word": word, "pos": pos, "token": token})
+            out = self.db.execute(ENCODE).fetchnumpy()
+            self._coded([p for p, _ in part], out["word"], out["pos"], out["token"])
+
+    def segments(self, text: str) -> tuple[list[str], list[str]]:
+        """Parts of a text whose matches do not depend on each other: first parts as they are, then parts that a space goes before."""
+        if not text:
+            return [], []
         if _CUT_TWICE.search(text):
-            return self.pattern.findall(text)
+            return self.pattern.findall(text), []
         first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]] if first else [" " + x for x in rest]
-
-    def learn(self, segments: set[str]) -> None:
-        """Encode and decode segments that are not stored yet."""
-        if len(self.codes) + len(segments) > CACHE_PIECES:
-            self.codes, self.decoded, self.known = {}, {}, {}
-        new = [s for s in segments if s not in self.codes]
-        if not new:
-            return
-        cut = [self.pattern.findall(s) for s in new]
-        pieces = {p for c in cut for p in c}
-        self.encode_pieces([p for p in pieces if p not in self.known])
-        known = self.known
-        ids = [[i for p in c for i in known[p]] for c in cut]
-        for s, x in zip(new, ids, strict=True):
-            self.codes[s] = " ".join(map(str, x))
-        for s, raw in zip(new, self.decode(ids), strict=True):
-            self.decoded[s] = raw
-
-    def decode(self, coded: list[list[int]]) -> list[bytes]:
-        """Bytes of each id list."""
-        out = [b""] * len(coded)
-        for i in range(0, len(coded), WORDS):
-            part = coded[i : i + WORDS]
-            self._store("coded", pa.table({"seg": pa.array(range(len(part)), pa.int64()), "ids": pa.array(part, pa.list_(pa.int64()))}))
-            got = self.db.execute(DECODE).to_arrow_table()
-            for s, h in zip(got["seg"].to_pylist(), got["hexed"].to_pylist(), strict=True):
-                out[i + s] = bytes.fromhex(h)
-        return out
-
-    def run(self, texts: list[str | None]) -> list[tuple[list[str], list[str]]]:
-        """For each text its segments' id strings and the segments themselves."""
-        cut = [self.segments(t) if t else [] for t in texts]
-        # pieces are learned in portions, so that one portion always fits the store
-        out, at = [], 0
-        while at < len(cut):
-            need, end = set(cut[at]), at + 1
-            while end < len(cut) and len(need) < CACHE_PIECES // 4:
-                need.update(cut[end])
-                end += 1
-            self.learn(need)
-            codes, decoded = self.codes, self.decoded
-            out += [([codes[s] for s in c], [decoded[s] for s in c]) for c in cut[at:end]]
-            at = end
+        return [first] if first else [], rest
+
+    def _learn(self, store: dict, segments: list[str], before: str) -> None:
+        cut = [self.pattern.findall(before + s) for s in segments]
+        self.encode_pieces(list({p for c in cut for p in c}.difference(self.pieces)))
+        known = self.pieces
+        for s, c in zip(segments, cut, strict=True):
+            got = [known[p] for p in c]
+            store[s] = got[0] if len(got) == 1 else (" ".join([x for x, _ in got]), b"".join([x for _, x in got]))
+
+    def run(self, texts: list[str | None]) -> list[tuple[str, bytes]]:
+        """Ids, joined by spaces, and decoded bytes of each text."""
+        out: list[tuple[str, bytes]] = []
+        cut = [self.segments(t or "") for t in texts]
+        if len(self.plain) + len(self.spaced) > CACHE_PIECES or len(self.pieces) > CACHE_PIECES:
+            self.plain, self.spaced, self.pieces = {}, {}, {}
+        for store, k, before in ((self.plain, 0, ""), (self.spaced, 1, " ")):
+            new: set[str] = set()
+            for c in cut:
+                new.update(set(c[k]).difference(store))
+            if new:
+                self._learn(store, list(new), before)
+        plain, spaced = self.plain, self.spaced
+        for first, rest in cut:
+            got = [plain[s] for s in first] + [spaced[s] for s in rest]
+            out.append((" ".join([x for x, _ in got]), b"".join([x for _, x in got])))
         return out
 
 
@@ -193,11 +214,11 @@ def _map(docs, id_col, text_col, vocabulary, schema, finish, types) -> DataFrame
     names = ["doc_id", *[x.split()[0] for x in schema.split(", ")]]
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [finish(" ".join(c), b"".join(d)) for c, d in codec(path).run(b.column(1).to_pylist())]
+        rows = [finish(ids, raw) for ids, raw in codec(path).run(b.column(1).to_pylist())]
         columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
         return pa.RecordBatch.from_arrays([b.column(0), *columns], names)
 
-    return map_arrow(docs.select(id_col, text_col), batch, f"doc_id {kind}, {schema}", rows=2000)
+    return map_arrow(docs.select(id_col, text_col), batch, f"doc_id {kind}, {schema}", rows=BATCH)
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, pii, quality_rules, url_filter
+from . import byte_bpe, exact_dedup, packing, pii, quality_rules, secrets, url_filter
 
-MODULES = (url_filter, quality_rules, exact_dedup, pii)
+MODULES = (url_filter, quality_rules, secrets, exact_dedup, packing, byte_bpe, pii)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLES = {k: s for m in MODULES for k, s in m.ORACLES.items()}
