@@ -66,9 +66,9 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One row for each row of `docs`: doc_id, keep_id, group_size, kept, and the carried columns."""
     rows = _fingerprints(docs, id_col, text_col, list(carry))
     shared = rows.where(F.col("__full").isNotNull())
-    best = shared.groupBy("__full").agg(F.max(F.struct("__id", "__row")).alias("__best"), F.count("*").alias("group_size"))
+    best = cut(shared.groupBy("__full").agg(F.max(F.struct("__id", "__row")).alias("__best"), F.count("*").alias("group_size")))
     others = [F.col(c) for c in carry]
-    grouped = shared.join(best, "__full").select(
+    grouped = shared.join(maybe_broadcast(best, best.count()), "__full").select(
         F.col("__id").alias("doc_id"), F.col("__best.__id").alias("keep_id"), "group_size", (F.col("__best.__row") == F.col("__row")).alias("kept"), *others
     )
     single = rows.where(F.col("__full").isNull()).select(
