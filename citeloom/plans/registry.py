@@ -144,7 +144,7 @@ class Engine:
     def scholar_patents(self, name: str | list[str]) -> workflows.Result:
         return workflows.scholar_patents(self.t["scholar"], self.t["scholar_patent"], self.t["patent"], _list(name))
 
-    def run(self, name: str, **params) -> Any:
+    def run(self, name: str, /, **params) -> Any:
         """The operator or workflow of that name; parameters that are None are left out."""
         if name not in OPERATIONS:
             raise KeyError(f"no operation {name!r}; there are {', '.join(sorted(OPERATIONS))}")
