@@ -11,7 +11,7 @@ content parses:
 
 - pem: a PEM block whose base64 body decodes to DER with consistent nested
   lengths (or to an OpenSSH key, or is marked as encrypted),
-- key: bare base64 or hex that decodes to such a key,
+- key: base64 or hex outside such a block that decodes to such a key,
 - jwt: a signed token, three base64url parts of which the first decodes to a
   JSON object with `alg`, the second to a JSON object,
 - basic: `Basic` or `user:password@` credentials whose base64 decodes to
@@ -151,9 +151,11 @@ def scan(text: str | None) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    if "PRIVATE KEY" in text:
-        out += [(m.start(), 3, m.end()) for m in PEM.finditer(text) if is_pem(m[3])]
+    blocks = [(m.start(), 3, m.end()) for m in PEM.finditer(text) if is_pem(m[3])] if "PRIVATE KEY" in text else []
+    out += blocks
     for m in BARE.finditer(text):
+        if any(a <= m.start() < b for a, _, b in blocks):
+            continue
         if is_key(bytes.fromhex(m[0]) if HEX_KEY.fullmatch(m[0]) else decode64(m[0])):
             out.append((m.start(), 4, m.end()))
     if "eyJ" in text:
