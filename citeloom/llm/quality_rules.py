@@ -173,10 +173,19 @@ def verdicts(featured: DataFrame, model: LabelModel) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that pass, with their columns. The fit reads all rows in a pass of its own."""
-    featured = features(docs, text_col)
-    model = fit(features(docs.select(text_col), text_col))
-    return verdicts(featured, model).where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of `docs` that pass, with their columns. The fit reads all rows in a pass of its own.
+
+    The row number beside the counts is a barrier: filters are not pushed into
+    a projection that holds one, so the counts are taken once for each row and
+    not once for each mention in the condition.
+    """
+    model = fit(_barred(features(docs.select(text_col), text_col)))
+    judged = verdicts(_barred(features(docs, text_col)), model)
+    return judged.where(F.col("__kept") & (F.col("__bar") >= 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _barred(featured: DataFrame) -> DataFrame:
+    return featured.withColumn("__bar", F.monotonically_increasing_id())
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
