@@ -204,8 +204,8 @@ def train(texts: list[str], labels: list[int], share: float | None = None, seed:
     seen = np.full((2, HIGH - LOW + 1), 0.5)
     for gain, v in zip(gains, labels, strict=True):
         np.add.at(seen[int(v)], gain - LOW, 1)
-    share = seen / seen.sum(1, keepdims=True)
-    model.evidence = np.log(share[1] / share[0])
+    often = seen / seen.sum(1, keepdims=True)
+    model.evidence = np.log(often[1] / often[0])
     x = np.array([features(g, model.evidence) for g in gains])
     model.mean, model.scale = x.mean(0), x.std(0) + 1e-6
     model.weights = _logistic((x - model.mean) / model.scale, y)
