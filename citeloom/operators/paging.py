@@ -22,8 +22,12 @@ def window_of(df: DataFrame, order: Sequence[Column], offset: int = 0, limit: in
 
 def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], most: int, rank: str = "ordinal") -> DataFrame:
     """The first `most` rows of each key, numbered from 1; the planner limits groups before the shuffle."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= most)
+    return numbered(df, keys, order, rank).where(F.col(rank) <= most)
+
+
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank: str = "ordinal") -> DataFrame:
+    """All rows of each key, numbered from 1."""
+    return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
 def by(column: str, key: str) -> list[Column]:

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.functions.text import first_given
-from citeloom.operators.paging import page, ranked, window_of
+from citeloom.operators.paging import page, window_of
 
 ORG_PAGE, PATENT_CAP, CITED_PREFIX = 10, 10_000, 20
 
@@ -71,8 +69,3 @@ def papers_of_year(venue_paper: DataFrame, year: int, venue_id=None) -> DataFram
     if not venue_id:
         return venue_paper.select("paper_id").limit(0)
     return venue_papers_all(venue_paper, venue_id, year)
-
-
-def first_of_each(rows: DataFrame, owners: DataFrame, owner: str, order: Sequence[Column], most: int) -> DataFrame:
-    """The first rows of each of a few owners, numbered."""
-    return ranked(rows.join(F.broadcast(owners), owner), ["query"], order, most)

@@ -294,7 +294,7 @@ _W1 = ["Customer#000000001", "customer#00000000", "nobody"]
     {_rows("search_candidates", "found WHERE ordinal <= 3", "ordinal", "c_custkey", "c_name", "c_acctbal")}
     UNION ALL {_rows("selected", "found WHERE ordinal = 1", "ordinal", "c_custkey", "c_name", "c_acctbal")}
     UNION ALL {_rows("detail", "found WHERE ordinal = 1", "1", "c_custkey", "c_mktsegment", "c_acctbal")}
-    UNION ALL {_rows("figure", _top("figures", "event_type", 1000), "ordinal", "NULL", "event_type")}
+    UNION ALL {_rows("figure", _top("figures", "event_type", 10**9), "ordinal", "NULL", "event_type")}
     UNION ALL {_rows("papers", _top("papers", "paper_id", 20), "ordinal", "paper_id", "title", "o_totalprice")}
     UNION ALL {_rows("papers_total", "papers GROUP BY query", metric="count(*)")}
     UNION ALL {_rows("patents", _top("patents", "patent_id", 10), "ordinal", "patent_id")}

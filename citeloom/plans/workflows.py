@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from citeloom.functions.text import contains
 from citeloom.operators import relation, resolve, search
-from citeloom.operators.paging import by, page, ranked
+from citeloom.operators.paging import by, numbered, page, ranked
 
 LONG = ("query", "section", "ordinal", "entity_id", "label", "metric")
 
@@ -63,7 +63,7 @@ def scholar_profile(scholars, figures, scholar_paper, scholar_patent, projects,
             "search_candidates": found.where("ordinal <= 3"),
             "selected": found.where("ordinal = 1"),
             "detail": scholars.join(one, "person_id"),
-            "figure": ranked(figures.join(one, "person_id"), ["query"], [F.asc("interest")], 1000),
+            "figure": numbered(figures.join(one, "person_id"), ["query"], [F.asc("interest")]),
             "papers": ranked(papers, ["query"], [F.asc("paper_id")], 20),
             "papers_total": _count(papers),
             "patents": ranked(patents, ["query"], [F.asc("patent_id")], 10),
@@ -88,7 +88,6 @@ def paper_deep_dive(papers, edges, cited_papers, cited_key: str, title: str | No
         first = page(hits, [F.asc("paper_id")], 0, 5)
         second = search.paper_search_pro(papers, title=title, order=order, size=5)
         found = resolve.if_empty(first, second, ("paper_search", "paper_search_pro"))
-        order = None if order is None else order
     rank_order = by(order, "paper_id") if (keyword or author) and order else [F.asc("paper_id")]
     found = ranked(found.withColumn("query", F.lit(label)), ["query"], rank_order, 5)
     one = _selected(found, "paper_id")
