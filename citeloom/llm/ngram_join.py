@@ -269,5 +269,23 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+ORACLE = r"""
+    WITH RECURSIVE w AS (
+      SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+    s AS (
+      SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i : i + 4], ' ') END AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+    n AS (SELECT doc_id, count(*) AS c FROM s GROUP BY doc_id),
+    pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+    links AS (
+      SELECT a, b, k = na.c AND k = nb.c AS same
+      FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 5 * k >= 4 * (na.c + nb.c - k)),
+    reach(node, other) AS (SELECT a, b FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
+    class AS (SELECT node, min(other) AS least FROM reach GROUP BY node),
+    copy AS (SELECT d.doc_id, least(d.doc_id, coalesce(min(b), d.doc_id)) AS copy_id FROM documents d LEFT JOIN links ON a = d.doc_id AND same GROUP BY d.doc_id),
+    counted AS (SELECT a, count(*) AS n_links, count(DISTINCT CASE WHEN NOT same THEN c.copy_id END) AS n_text_links FROM links JOIN copy c ON c.doc_id = b GROUP BY a)
+    SELECT c.doc_id, c.copy_id, least(c.copy_id, coalesce(class.least, c.copy_id)) AS class_id, coalesce(n_links, 0) AS n_links, coalesce(n_text_links, 0) AS n_text_links
+    FROM copy c LEFT JOIN class ON class.node = c.doc_id LEFT JOIN counted ON counted.a = c.doc_id"""
+
 QUERIES = {"op3_ngram_jaccard_join": op3_ngram_jaccard_join}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op3_ngram_jaccard_join": ORACLE}

@@ -53,6 +53,10 @@ def test_query_equals_brute_force(spark, middle, monkeypatch):
     assert answers(n.op3_ngram_jaccard_join(spark, middle)) == want
 
 
+def test_query_equals_its_sql(same, middle):
+    assert same(n.op3_ngram_jaccard_join, n.ORACLE, middle) == 1000
+
+
 def test_chains_ties_and_a_large_group(spark, monkeypatch):
     words = [f"w{i}" for i in range(104)]
     rows = [(0, " ".join(words))]

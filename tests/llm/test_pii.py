@@ -68,6 +68,23 @@ def test_redaction(spark):
     assert p.redact(docs.select("text")).columns == ["text"]
 
 
+def test_query_equals_its_sql(same, middle):
+    assert same(p.op10_pii, p.ORACLES["op10_pii"], middle) == 1000
+
+
+def test_sql_on_odd_texts(spark, tmp_path, same):
+    rnd = random.Random(8)
+    parts = ["4111 1111 1111 1111", " ", ".", "@", "a", "é", "iban ", " DE89370400440532013000; ", " DE89 3704 0044 0532 0130 00; ", " DE88370400440532013000; ", "ssn ", "; 123-45-6789; ", "x@y.zz", "+1 (482) 555-7163", "call ", "10.0.0.1", "\n"]
+    rows = [(i, "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12)))) for i in range(400)] + [(400, None)]
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for t in "region nation customer supplier part orders lineitem events embeddings pages benchmark labels conversations".split():
+        pq.write_table(pa.table({"x": [1]}), tmp_path / f"{t}.parquet")
+    pq.write_table(pa.table({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]}), tmp_path / "documents.parquet")
+    assert same(p.op10_pii, p.ORACLES["op10_pii"], str(tmp_path)) == 401
+
+
 def test_query(spark, middle):
     texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{middle}/documents.parquet'").fetchall())
     frame = p.op10_pii(spark, middle)
