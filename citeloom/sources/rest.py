@@ -80,7 +80,10 @@ def shaped(value, kind: DataType):
 
 
 class RestSource(DataSource):
-    """Options: url, pages, first (number of the first page), page_param, size_param, size, params (JSON), header.NAME."""
+    """Options: url, method (get or post), pages, first (number of the first page), page_param, size_param, size, params (JSON), header.NAME.
+
+    By get the parameters are in the address, by post they are a JSON body.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -105,5 +108,9 @@ class RestReader(DataSourceReader):
         o = self.options
         params = {**json.loads(o.get("params", "{}")), o.get("page_param", "page"): partition.value, o.get("size_param", "size"): int(o.get("size", 10))}
         headers = {k[len("header.") :]: v for k, v in o.items() if k.startswith("header.")}
-        for row in records(fetch(address(o["url"], params), headers)):
+        if o.get("method", "get").lower() == "post":
+            answer = fetch(o["url"], {"Content-Type": "application/json", **headers}, json.dumps(params, ensure_ascii=False).encode())
+        else:
+            answer = fetch(address(o["url"], params), headers)
+        for row in records(answer):
             yield shaped(row, self.schema)

@@ -156,6 +156,47 @@ def test_rest_parts():
     assert rest.records([{"a": 1}, 3]) == [{"a": 1}] and rest.records({"data": None}) == []
 
 
+def test_rest_source(spark):
+    import threading
+    import urllib.parse
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    seen = []
+
+    class Pages(BaseHTTPRequestHandler):
+        def answer(self, params):
+            seen.append((self.command, self.headers.get("x-key"), params["q"]))
+            n = int(params["page"])
+            rows = [{"id": f"{n}-{i}", "names": ["é", None], "venue": {"id": i}, "more": 1} for i in range(int(params["size"]))]
+            body = json.dumps({"data": rows if n < 2 else None}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def do_GET(self):
+            self.answer(dict(urllib.parse.parse_qsl(urllib.parse.urlparse(self.path).query)))
+
+        def do_POST(self):
+            self.answer(json.loads(self.rfile.read(int(self.headers["Content-Length"]))))
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Pages)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        spark.dataSource.register(rest.RestSource)
+        for method in ("get", "post"):
+            reader = spark.read.format("rest").schema("id string, names array<string>, venue struct<id:int>, absent string")
+            options = {"url": f"http://127.0.0.1:{server.server_port}/x", "method": method, "pages": 3, "size": 2, "params": '{"q": "ü"}', "header.X-Key": "k"}
+            got = sorted(reader.options(**options).load().collect())
+            assert [r.id for r in got] == ["0-0", "0-1", "1-0", "1-1"]
+            assert got[1].names == ["é", None] and got[1].venue.id == 1 and got[1].absent is None
+        assert set(seen) == {("GET", "k", "ü"), ("POST", "k", "ü")}
+    finally:
+        server.shutdown()
+
+
 def test_feed_keeps_each_key_once(spark, tmp_path):
     from pyspark.sql import functions as F
 
