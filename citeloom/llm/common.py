@@ -9,7 +9,9 @@ import uuid
 import zipfile
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,13 +81,32 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+#: Bytes of text to a portion, so that a run of long texts is not worked on at once.
+PORTION = 8_000_000
+
+
+def portions(batch: pa.RecordBatch, rows: int, most: int = PORTION):
+    """Slices of at most `rows` rows and, but for single rows, `most` bytes of the text columns."""
+    sizes = np.zeros(batch.num_rows, dtype=np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+            sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, min(at + rows, int(np.searchsorted(ends, before + most, side="right"))))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, rows: int = 1000) -> DataFrame:
-    """mapInArrow over slices of at most `rows` rows, one output batch for each."""
+    """mapInArrow over portions of at most `rows` rows, one output batch for each."""
     ship(df.sparkSession)
 
     def run(batches):
         for batch in batches:
-            for i in range(0, batch.num_rows, rows):
-                yield fn(batch.slice(i, rows))
+            for part in portions(batch, rows):
+                yield fn(part)
 
     return df.mapInArrow(run, schema)
