@@ -284,10 +284,11 @@ def slots(plan) -> dict[str, np.ndarray]:
 # --- the placement --------------------------------------------------------------------------
 
 
-def _numbered(parts: DataFrame, most: int) -> DataFrame:
-    """Adds `__number`, from 0 within each length. most: pieces of the commonest length."""
-    groups = max(1, min(MAX_GROUPS, -(-most // GROUP_PIECES)))
-    salted = parts.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
+def _numbered(parts: DataFrame, counted: dict[int, int]) -> DataFrame:
+    """Adds `__number`, from 0 within each length. counted: pieces of each length, which says how many groups each is dealt to."""
+    groups = [max(1, min(MAX_GROUPS, -(-counted.get(x, 0) // GROUP_PIECES))) for x in range(max(counted, default=0) + 1)]
+    dealt = F.get(F.lit(groups).cast("array<bigint>"), F.col("length").cast("int"))
+    salted = parts.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "piece"), dealt))
     counts = salted.groupBy("length", "__salt").agg(F.count("*").alias("__n"))
     before = Window.partitionBy("length").orderBy("__salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = cut(counts.select("length", "__salt", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")))
@@ -314,7 +315,7 @@ def place(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         return pa.RecordBatch.from_arrays([*[b.column(n) for n in names], pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
 
     schema = ", ".join(f"{n} {t}" for n, t in parts.dtypes) + ", sequence_id bigint, offset bigint"
-    return map_arrow(_numbered(parts, max(counts.values(), default=0)).select(*names, "__number"), batch, schema, rows=50_000)
+    return map_arrow(_numbered(parts, counts).select(*names, "__number"), batch, schema, rows=50_000)
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
