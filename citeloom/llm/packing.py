@@ -43,7 +43,7 @@ VOCABULARY = "word_bpe_49k.json"
 #: Segments kept from batch to batch in a worker; when more have come, the store starts anew.
 CACHE_SEGMENTS = 1_000_000
 #: Pieces to a numbered group, and groups to a length at most.
-GROUP_PIECES, MAX_GROUPS = 500, 4096
+GROUP_PIECES, MAX_GROUPS = 100, 4096
 
 #: Segments whose normal form is plain lower-casing: ASCII and Latin letters, no combining marks, no unusual white space.
 _PLAIN = re.compile(r"[\n\t!-~\xa1-įı-ɏ]*")
