@@ -118,6 +118,11 @@ def f06_paper_relation(s):
     return long(relation.cited(s.citations().where("paper_id BETWEEN 10 AND 400")).select("paper_id", "pos", "cited_id"), "pos")
 
 
+@query(f"SELECT paper_id, CAST(pos AS BIGINT) AS pos, cited_id FROM ({_EDGES})")
+def f06_paper_relation_whole(s):
+    return long(relation.cited(s.citations()).select("paper_id", "pos", "cited_id"), "pos")
+
+
 @query("SELECT doc_id AS paper_id, source AS venue_name, lang, n_chars AS n_citation FROM documents WHERE contains(lower(source), 'src3') ORDER BY n_chars DESC, doc_id LIMIT 10")
 def f07_paper_list_by_search_venue(s):
     return search.paper_list_by_search_venue(s.text_papers(), venue="src3", order="n_citation").select("paper_id", "venue_name", "lang", "n_citation")

@@ -32,3 +32,9 @@ def test_plans_push_filters_and_prune_columns(spark, middle):
     assert "TakeOrderedAndProject" in top
     limited = catalogue.QUERIES["d02_top_n"](spark, middle)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in limited
+
+
+def test_citations_of_all_papers_are_given(spark, middle):
+    edges = catalogue.QUERIES["f06_paper_relation_whole"](spark, middle)
+    assert edges.count() == spark.read.parquet(f"{middle}/lineitem.parquet").count()
+    assert edges.where("paper_id NOT BETWEEN 10 AND 400").count() > 0
