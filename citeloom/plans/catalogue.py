@@ -433,16 +433,33 @@ def d02_top_n(s):
 
 @query("SELECT event_id, coalesce(nullif(CASE WHEN event_type = 'click' THEN '' ELSE event_type END, ''), nullif(props, '')) AS id FROM events WHERE user_id = 5")
 def d03_first_given(s):
+    return _first_given(s.raw("events").where("user_id = 5"))
+
+
+def _first_given(events: DataFrame) -> DataFrame:
     blank = F.when(F.col("event_type") == "click", "").otherwise(F.col("event_type"))
-    return s.raw("events").where("user_id = 5").select("event_id", text.first_given(blank, F.col("props")).alias("id"))
+    return events.select("event_id", text.first_given(blank, F.col("props")).alias("id"))
+
+
+@query("SELECT event_id, coalesce(nullif(CASE WHEN event_type = 'click' THEN '' ELSE event_type END, ''), nullif(props, '')) AS id FROM events")
+def d03_first_given_whole(s):
+    return _first_given(s.raw("events"))
 
 
 @query("SELECT to_json({'id': c_custkey, 'name': c_name, 'org': n_name}) AS selected FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey < 20")
 def d04_projection(s):
-    chosen = s.scholars().where("person_id < 20")
+    return _projection(s.scholars().where("person_id < 20"))
+
+
+def _projection(chosen: DataFrame) -> DataFrame:
     return chosen.select(F.to_json(F.struct(F.col("person_id").alias("id"), "name", "org")).alias("selected"))
 
 
+@query("SELECT to_json({'id': c_custkey, 'name': c_name, 'org': n_name}) AS selected FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def d04_projection_whole(s):
+    return _projection(s.scholars())
+
+
 @query("SELECT l_orderkey AS paper_id, l_partkey AS item FROM lineitem")
 def d05_flatten(s):
     lists = s.citations().withColumn("ids", F.col("cited.id"))
@@ -493,15 +510,33 @@ def d10_fallback(s):
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE user_id = 5")
 def d15_object_or_list(s):
+    return _object_or_list(s.raw("events").where("user_id = 5"))
+
+
+def _object_or_list(events: DataFrame) -> DataFrame:
     odd = F.col("event_id") % 2 == 1
     payload = F.when(odd, F.concat(F.lit("["), F.col("props"), F.lit(', {"k": -1}]'))).otherwise(F.col("props"))
-    return s.raw("events").where("user_id = 5").select("event_id", text.object_or_list(payload, "struct<k:bigint>")["k"].alias("k"))
+    return events.select("event_id", text.object_or_list(payload, "struct<k:bigint>")["k"].alias("k"))
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def d15_object_or_list_whole(s):
+    return _object_or_list(s.raw("events"))
 
 
 @query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'a|b' WHEN 1 THEN 'x' ELSE '7' END AS ids FROM events WHERE user_id = 5")
 def h3_parse_ids(s):
+    return _parse_ids(s.raw("events").where("user_id = 5"))
+
+
+def _parse_ids(events: DataFrame) -> DataFrame:
     value = F.element_at(F.array(F.lit('["a", "b"]'), F.lit('"x"'), F.lit(" 7 ")), (F.col("event_id") % 3 + 1).cast("int"))
-    return s.raw("events").where("user_id = 5").select("event_id", F.array_join(text.id_list(value), "|").alias("ids"))
+    return events.select("event_id", F.array_join(text.id_list(value), "|").alias("ids"))
+
+
+@query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'a|b' WHEN 1 THEN 'x' ELSE '7' END AS ids FROM events")
+def h3_parse_ids_whole(s):
+    return _parse_ids(s.raw("events"))
 
 
 @query(
@@ -509,8 +544,20 @@ def h3_parse_ids(s):
     'https://example.org/patent/' || CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END AS patent_url, 'https://venues.test/' || o_orderkey AS venue_url FROM orders WHERE o_orderkey < 500"""
 )
 def l1_links(s):
+    return _links(s.papers().where("paper_id < 500"))
+
+
+def _links(papers: DataFrame) -> DataFrame:
     even = F.when(F.col("paper_id") % 2 == 0, F.col("paper_id"))
-    return s.papers().where("paper_id < 500").select("paper_id", text.link("paper", F.col("paper_id")).alias("paper_url"), text.link("scholar", F.col("person_id")).alias("scholar_url"), text.link("patent", even).alias("patent_url"), text.link("venue", F.col("paper_id"), "https://venues.test/").alias("venue_url"))
+    return papers.select("paper_id", text.link("paper", F.col("paper_id")).alias("paper_url"), text.link("scholar", F.col("person_id")).alias("scholar_url"), text.link("patent", even).alias("patent_url"), text.link("venue", F.col("paper_id"), "https://venues.test/").alias("venue_url"))
+
+
+@query(
+    """SELECT o_orderkey AS paper_id, 'https://example.org/pub/' || o_orderkey AS paper_url, 'https://example.org/profile/' || o_custkey AS scholar_url,
+    'https://example.org/patent/' || CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END AS patent_url, 'https://venues.test/' || o_orderkey AS venue_url FROM orders"""
+)
+def l1_links_whole(s):
+    return _links(s.papers())
 
 
 @query("SELECT * FROM (VALUES " + ", ".join(f"('{op}', CAST({p} AS DOUBLE))" for op, p in costs.PRICES.items()) + ") t(op, unit_price)")

@@ -38,3 +38,8 @@ def test_citations_of_all_papers_are_given(spark, middle):
     edges = catalogue.QUERIES["f06_paper_relation_whole"](spark, middle)
     assert edges.count() == spark.read.parquet(f"{middle}/lineitem.parquet").count()
     assert edges.where("paper_id NOT BETWEEN 10 AND 400").count() > 0
+
+
+@pytest.mark.parametrize(("name", "source"), [("l1_links", "orders"), ("d04_projection", "customer"), ("d03_first_given", "events"), ("d15_object_or_list", "events"), ("h3_parse_ids", "events")])
+def test_whole_tables_are_projected(spark, middle, name, source):
+    assert catalogue.QUERIES[f"{name}_whole"](spark, middle).count() == spark.read.parquet(f"{middle}/{source}.parquet").count()
