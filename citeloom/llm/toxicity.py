@@ -23,6 +23,11 @@ at most `LONGEST` characters):
    text) and the mean evidence calibrates the score. The sample holds more toxic
    documents than the corpus; the intercept moves half the way back, which puts
    the threshold between the likelier label and equal care for both classes.
+4. Shares dilute one toxic passage in a long text, so a second regression, with
+   the same intercept rule, calibrates the passage: the largest summed evidence
+   over a run of at most `RUN` neighbouring windows, less the logarithm of the
+   number of windows, as chance runs of log-likelihood ratios grow by that with
+   the length. A document's score is the greater of the two.
 
 Scoring reads whole texts, window by window, in bounded memory. A null or
 empty text has no windows and no savings and is scored from that alone.
@@ -54,6 +59,8 @@ BODY, TAIL = 6144, 768
 SAMPLE = {0: 3000, 1: 2000}
 LONGEST = 60_000
 RATIO, LEAST, FADE, WORTH = 8.0, 4, 0.8, 0.2
+#: Windows that a toxic passage is looked for in.
+RUN = 8
 #: Savings beyond these count as these.
 LOW, HIGH = -8, 15
 THRESHOLD = 0.5
@@ -122,6 +129,7 @@ class Model:
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
+    passage: np.ndarray
     prior: float
 
     def _compressors(self):
@@ -137,10 +145,11 @@ class Model:
         if not self.toxic:
             return lambda texts: np.full(len(texts), self.prior)
         ordinary, toxic = self._compressors()
-        return lambda texts: self.calibrated(np.array([features(savings(t, ordinary, toxic), self.evidence) for t in texts]).reshape(len(texts), N_FEATURES))
+        return lambda texts: self.calibrated(np.array([all_features(savings(t, ordinary, toxic), self.evidence) for t in texts]).reshape(len(texts), N_FEATURES + 1))
 
     def calibrated(self, x: np.ndarray) -> np.ndarray:
-        z = ((x - self.mean) / self.scale) @ self.weights[1:] + self.weights[0]
+        x = (x - self.mean) / self.scale
+        z = np.maximum(x[:, :-1] @ self.weights[1:] + self.weights[0], x[:, -1] * self.passage[1] + self.passage[0])
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -163,6 +172,18 @@ def features(gain: np.ndarray, evidence: np.ndarray) -> list[float]:
     return [*[math.log((gain >= k).mean() + FLOOR) for k in LARGE], each.mean(), np.maximum(each, 0).mean()]
 
 
+def densest(gain: np.ndarray, evidence: np.ndarray) -> float:
+    """The largest evidence of a run of neighbouring windows, less what length alone adds to it."""
+    if not len(gain):
+        return 0.0
+    total = np.concatenate([[0.0], np.cumsum(evidence[gain - LOW])])
+    return max(float((total[n:] - total[:-n]).max()) for n in range(1, min(RUN, len(gain)) + 1)) - math.log(len(gain))
+
+
+def all_features(gain: np.ndarray, evidence: np.ndarray) -> list[float]:
+    return [*features(gain, evidence), densest(gain, evidence)]
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
     a = np.c_[np.ones(len(x)), x]
     w = np.zeros(a.shape[1])
@@ -185,7 +206,7 @@ def train(texts: list[str], labels: list[int], share: float | None = None, seed:
     """Dictionaries and calibration from labelled texts; `share` of the corpus's labels are toxic, if known."""
     y = np.array(labels, dtype=np.float64)
     prior = float(y.mean()) if len(y) else 0.5
-    none = Model(b"", b"", np.zeros(HIGH - LOW + 1), np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES + 1), prior)
+    none = Model(b"", b"", np.zeros(HIGH - LOW + 1), np.zeros(N_FEATURES + 1), np.ones(N_FEATURES + 1), np.zeros(N_FEATURES + 1), np.zeros(2), prior)
     if len(y) < 20 or y.min() == y.max():
         return none
     own, other = [t for t, v in zip(texts, labels, strict=True) if v], [t for t, v in zip(texts, labels, strict=True) if not v]
@@ -198,7 +219,7 @@ def train(texts: list[str], labels: list[int], share: float | None = None, seed:
         return none
     if not tail or len(tail) > len(body) // 2:
         return none
-    model = Model(body + tail, body + body[-len(tail) :], none.evidence, none.mean, none.scale, none.weights, prior)
+    model = Model(body + tail, body + body[-len(tail) :], none.evidence, none.mean, none.scale, none.weights, none.passage, prior)
     ordinary, toxic = model._compressors()
     gains = [savings(t, ordinary, toxic) for t in texts]
     seen = np.full((2, HIGH - LOW + 1), 0.5)
@@ -206,11 +227,13 @@ def train(texts: list[str], labels: list[int], share: float | None = None, seed:
         np.add.at(seen[int(v)], gain - LOW, 1)
     often = seen / seen.sum(1, keepdims=True)
     model.evidence = np.log(often[1] / often[0])
-    x = np.array([features(g, model.evidence) for g in gains])
+    x = np.array([all_features(g, model.evidence) for g in gains])
     model.mean, model.scale = x.mean(0), x.std(0) + 1e-6
-    model.weights = _logistic((x - model.mean) / model.scale, y)
+    x = (x - model.mean) / model.scale
+    model.weights, model.passage = _logistic(x[:, :-1], y), _logistic(x[:, -1:], y)
     if share and share < 1:
-        model.weights[0] += (_log_odds(share) - _log_odds(prior)) / 2
+        for w in (model.weights, model.passage):
+            w[0] += (_log_odds(share) - _log_odds(prior)) / 2
     return model
 
 

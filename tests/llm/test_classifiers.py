@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import duckdb
@@ -103,3 +104,25 @@ def test_marking_words_and_windows():
     parts = t.windows("ÄB " + "x" * 200 + " end")
     assert b"".join(parts).decode() == "äb " + "x" * 200 + " end" and max(map(len, parts)) <= t.WINDOW
     assert t.windows(None) == t.windows("") == []
+
+
+def test_one_toxic_passage_in_a_long_text_is_found():
+    texts, labels = labelled("toxic")
+    some = [i for i in sorted(texts) if len(texts[i]) <= t.LONGEST and zlib.crc32(str(i).encode()) % t.FOLDS != t.HELD_OUT]
+    rnd = random.Random(3)
+    own, other = [texts[i] for i in some if labels[i]], [texts[i] for i in some if not labels[i]]
+    score = t.train(own + other, [1] * len(own) + [0] * len(other), len(own) / len(some)).scorer()
+    marks = t.marking_words(own, other)
+    held = [texts[i] for i in sorted(texts) if zlib.crc32(str(i).encode()) % t.FOLDS == t.HELD_OUT and not labels[i]]
+    words = [w for x in held for w in x.split() if w.lower() not in marks]
+    for n in (500, 3000, 8000, 20_000):
+        for toxic in (10, 20):
+            plain, planted = [], []
+            for _ in range(10):
+                at, where = rnd.randrange(len(words) - n), rnd.randrange(n - 50)
+                text = words[at : at + n]
+                passage = rnd.choices(marks, k=toxic) + rnd.choices(words, k=50 - toxic)
+                rnd.shuffle(passage)
+                plain.append(" ".join(text))
+                planted.append(" ".join(text[:where] + passage + text[where + 50 :]))
+            assert (score(planted) >= t.THRESHOLD).mean() >= 0.9 and (score(plain) >= t.THRESHOLD).mean() <= 0.1, (n, toxic)
