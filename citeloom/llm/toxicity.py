@@ -16,7 +16,9 @@ at most `LONGEST` characters):
    when its contexts are `RATIO` times as frequent as in ordinary text, in
    `LEAST` documents or more; words are taken greedily by the documents that they
    cover (each cover lowers a document's weight, so a family of copies counts
-   little) while one covers a fifth of what the first did.
+   little) while one covers a fifth of what the first did. Where no word does,
+   the tail is the end of a dictionary trained on the toxic sample; a sample too
+   small to train on is its own dictionary.
 3. The evidence of a window is the log-likelihood ratio of its saving in toxic
    and ordinary documents. A logistic regression on the shares of windows with
    large savings (logarithms, so that one stray match counts less the longer the
@@ -33,7 +35,8 @@ Scoring reads whole texts, window by window, in bounded memory. A null or
 empty text has no windows and no savings and is scored from that alone.
 Documents without a label are scored like others; rows with null or repeated
 ids each get their score; an empty table gives an empty result. Without labels
-of both classes all scores are the share of toxic labels (0.5 with none).
+of both classes, or without any text in one, all scores are the share of toxic
+labels (0.5 with none).
 """
 
 from __future__ import annotations
@@ -121,6 +124,14 @@ def _tail(words: list[str]) -> bytes:
     return (" " + " ".join(reversed(words)) + " ").encode()[-TAIL:] if words else b""
 
 
+def _dictionary(parts: list[bytes]) -> bytes:
+    """A trained dictionary, or the last of the text itself where there is too little to train on."""
+    try:
+        return zstandard.train_dictionary(BODY, parts).as_bytes()
+    except (zstandard.ZstdError, ValueError):
+        return b"".join(parts)[-BODY:]
+
+
 @dataclass
 class Model:
     toxic: bytes
@@ -135,7 +146,7 @@ class Model:
     def _compressors(self):
         made = []
         for raw in (self.ordinary, self.toxic):
-            d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_FULLDICT)
+            d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_AUTO)
             d.precompute_compress(level=LEVEL)
             made.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False))
         return made
@@ -207,17 +218,15 @@ def train(texts: list[str], labels: list[int], share: float | None = None, seed:
     y = np.array(labels, dtype=np.float64)
     prior = float(y.mean()) if len(y) else 0.5
     none = Model(b"", b"", np.zeros(HIGH - LOW + 1), np.zeros(N_FEATURES + 1), np.ones(N_FEATURES + 1), np.zeros(N_FEATURES + 1), np.zeros(2), prior)
-    if len(y) < 20 or y.min() == y.max():
+    if not len(y) or y.min() == y.max():
         return none
     own, other = [t for t, v in zip(texts, labels, strict=True) if v], [t for t, v in zip(texts, labels, strict=True) if not v]
     parts = [w for t in other for w in windows(t, 256)]
     random.Random(seed).shuffle(parts)
-    tail = _tail(marking_words(own, other))
-    try:
-        body = zstandard.train_dictionary(BODY, parts[:40_000]).as_bytes()
-    except zstandard.ZstdError:
-        return none
-    if not tail or len(tail) > len(body) // 2:
+    body = _dictionary(parts[:40_000])
+    tail = _tail(marking_words(own, other)) or _dictionary([w for t in own for w in windows(t, 256)])[-TAIL:]
+    tail = tail[-max(1, len(body) // 2) :]
+    if not body or not tail:
         return none
     model = Model(body + tail, body + body[-len(tail) :], none.evidence, none.mean, none.scale, none.weights, none.passage, prior)
     ordinary, toxic = model._compressors()

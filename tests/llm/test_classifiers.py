@@ -126,3 +126,11 @@ def test_one_toxic_passage_in_a_long_text_is_found():
                 plain.append(" ".join(text))
                 planted.append(" ".join(text[:where] + passage + text[where + 50 :]))
             assert (score(planted) >= t.THRESHOLD).mean() >= 0.9 and (score(plain) >= t.THRESHOLD).mean() <= 0.1, (n, toxic)
+
+
+def test_small_label_sets_are_trained_on_text():
+    own, other = ["vile filth and scorn"] * 3, ["a calm day by the lake"] * 3
+    assert t.marking_words(own, other) == []
+    bad, good = t.train(own + other, [1] * 3 + [0] * 3).scorer()(["vile filth and scorn", "a calm day by the lake"])
+    assert bad > good
+    assert set(t.train(own + [""], [1] * 3 + [0]).scorer()(["vile", "calm"])) == {0.75}
