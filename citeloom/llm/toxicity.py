@@ -8,8 +8,8 @@ all windows of a document into a score.
 Training, on a bounded sample of labelled rows (`SAMPLE` documents a class, of
 at most `LONGEST` characters):
 
-1. `train_dictionary` learns a body, content and entropy tables, from windows of
-   ordinary text.
+1. `train_dictionary` learns a body, content and entropy tables, from all windows
+   of the sample's ordinary text.
 2. The toxic dictionary is that body and a tail of the words that mark toxic
    text, the ordinary one the body with its own end again, for equal length: so
    lengths differ only where toxic content is matched. A word is a candidate
@@ -223,7 +223,7 @@ def train(texts: list[str], labels: list[int], share: float | None = None, seed:
     own, other = [t for t, v in zip(texts, labels, strict=True) if v], [t for t, v in zip(texts, labels, strict=True) if not v]
     parts = [w for t in other for w in windows(t, 256)]
     random.Random(seed).shuffle(parts)
-    body = _dictionary(parts[:40_000])
+    body = _dictionary(parts)
     tail = _tail(marking_words(own, other)) or _dictionary([w for t in own for w in windows(t, 256)])[-TAIL:]
     tail = tail[-max(1, len(body) // 2) :]
     if not body or not tail:

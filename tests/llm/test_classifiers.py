@@ -134,3 +134,13 @@ def test_small_label_sets_are_trained_on_text():
     bad, good = t.train(own + other, [1] * 3 + [0] * 3).scorer()(["vile filth and scorn", "a calm day by the lake"])
     assert bad > good
     assert set(t.train(own + [""], [1] * 3 + [0]).scorer()(["vile", "calm"])) == {0.75}
+
+
+def test_dictionary_sees_all_windows_of_the_sample(monkeypatch):
+    seen, real = [], t._dictionary
+    monkeypatch.setattr(t, "_dictionary", lambda parts: seen.append(len(parts)) or real(parts[:2000]))
+    other = [" ".join(f"plain{i % 7}x{j}" for j in range(28_000)) for i in range(40)]
+    assert sum(len(t.windows(x, 256)) for x in other) > 40_000
+    monkeypatch.setattr(t, "savings", lambda *a: np.array([0, 1]))
+    t.train(["vile filth"] * 4 + other, [1] * 4 + [0] * len(other))
+    assert seen[0] == sum(len(t.windows(x, 256)) for x in other)
