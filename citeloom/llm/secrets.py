@@ -10,8 +10,11 @@ Structural kinds are proposed by looser patterns and reported only when their
 content parses:
 
 - pem: a PEM block whose base64 body decodes to DER with consistent nested
-  lengths (or to an OpenSSH key, or is marked as encrypted),
-- key: base64 or hex outside such a block that decodes to such a key,
+  lengths (or to an OpenSSH key, or is marked as encrypted); under the label
+  ENCRYPTED to an algorithm and an octet string, in a PRIVATE KEY BLOCK to
+  OpenPGP packets of which the first is a secret key,
+- key: base64 or hex outside such a block that decodes to such a key, in one run
+  or in lines of one width of which the last may be shorter,
 - jwt: a signed token, three base64url parts of which the first decodes to a
   JSON object with `alg`, the second to a JSON object,
 - basic: `Basic` or `user:password@` credentials whose base64 decodes to
@@ -29,6 +32,7 @@ import base64
 import binascii
 import hashlib
 import json
+import math
 import re
 
 import pyarrow as pa
@@ -48,6 +52,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}?)PRIVATE KEY( BLOCK|)-----([A-Za-z0-9+/=\s:,.()-]*?)-----END \1PRIVATE KEY\2-----")
 BARE = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}={0,2}")
+LINE = re.compile(r"\r?\n[\t\x20]*([A-Za-z0-9+/]+={0,2})(?![A-Za-z0-9+/=])")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
 BASIC = re.compile(r"[Bb]asic\x20+([A-Za-z0-9+/]{8,}={0,2})|[a-z][a-z0-9+.-]{1,15}://[^\s/:@?#]{1,256}:([^\s/:@?#]{3,256})@")
 HEX_KEY = re.compile(r"(?:[0-9A-Fa-f]{2})+")
@@ -102,6 +107,47 @@ def is_der_key(data: bytes) -> bool:
     return data[head : head + 2] == b"\x02\x01" and data[head + 2] <= 3
 
 
+def der_size(data: bytes) -> int | None:
+    """Bytes of the DER item that `data` starts with, its head included."""
+    if len(data) < 2 or data[1] == 0x80 or data[1] > 0x84:
+        return None
+    n = data[1] & 0x7F if data[1] & 0x80 else 0
+    return 2 + n + (int.from_bytes(data[2 : 2 + n], "big") if n else data[1])
+
+
+def is_encrypted_key(data: bytes) -> bool:
+    """PKCS#8: one DER SEQUENCE of a SEQUENCE (the algorithm) and an OCTET STRING."""
+    if len(data) < 24 or data[0] != 0x30 or der_size(data) != len(data) or not der_items(data):
+        return False
+    inner = data[2 + (data[1] & 0x7F if data[1] & 0x80 else 0) :]
+    if inner[0] != 0x30:
+        return False
+    rest = inner[der_size(inner) :]
+    return rest[:1] == b"\x04" and der_size(rest) == len(rest)
+
+
+def is_openpgp_key(data: bytes) -> bool:
+    """OpenPGP packets that fill the data, first a secret key or subkey of a known version."""
+    at = 0
+    while at < len(data):
+        head, start = data[at], at
+        if head & 0xC0 == 0xC0:
+            tag, first = head & 0x3F, data[at + 1] if at + 1 < len(data) else 224
+            if 224 <= first < 255:
+                return False
+            n = 1 if first < 192 else 2 if first < 224 else 5
+            size = first if n == 1 else ((first - 192) << 8) + int.from_bytes(data[at + 2 : at + 3], "big") + 192 if n == 2 else int.from_bytes(data[at + 2 : at + 6], "big")
+        elif head & 0x80 and head & 3 < 3:
+            tag, n = head >> 2 & 0xF, 1 << (head & 3)
+            size = int.from_bytes(data[at + 1 : at + 1 + n], "big")
+        else:
+            return False
+        at += 1 + n + size
+        if at > len(data) or start == 0 and (tag not in (5, 7) or size < 6 or not 2 <= data[1 + n] <= 6):
+            return False
+    return at > 0
+
+
 def is_openssh_key(data: bytes) -> bool:
     """The OpenSSH magic, then cipher, kdf and options as strings with nested lengths that fit."""
     magic = b"openssh-key-v1\0"
@@ -128,10 +174,40 @@ def is_jwt(token: str) -> bool:
     return all(isinstance(x, dict) for x in parsed) and isinstance(parsed[0].get("alg"), str)
 
 
-def is_pem(body: str) -> bool:
+def is_pem(body: str, label: str = "", block: bool = False) -> bool:
+    if block:
+        lines = [x.strip() for x in body.split("\n")]
+        data = decode64("".join(x for x in lines if ":" not in x and not x.startswith("=")))
+        return data is not None and is_openpgp_key(data)
     if "ENCRYPTED" in body:
         return True
-    return is_key(decode64(re.sub(r"\s+", "", body)))
+    data = decode64(re.sub(r"\s+", "", body))
+    return is_key(data) or "ENCRYPTED" in label and data is not None and is_encrypted_key(data)
+
+
+def wrapped_key(text: str, m: re.Match) -> int | None:
+    """Where a key ends that begins in the line `m` and goes on in lines no longer than it."""
+    if m[0].endswith("="):
+        return None
+    decode, chars = (bytes.fromhex, 2) if HEX_KEY.fullmatch(m[0]) else (decode64, 4 / 3)
+    head = decode(m[0][:40]) or b""
+    ssh = head.startswith(b"openssh-key-v1\0")
+    if not ssh and (head[:1] != b"\x30" or b"\x02\x01" not in head[2:8]):
+        return None
+    least = 0 if ssh else math.ceil(der_size(head) * chars) if der_size(head) else math.inf
+    parts, ends, at = [m[0]], [m.end()], m.end()
+    while len(parts[-1]) == len(m[0]) and (ssh or len(parts) * len(m[0]) < least) and (line := LINE.match(text, at)) and len(line[1]) <= len(m[0]):
+        at = line.end()
+        parts.append(line[1])
+        ends.append(at)
+    for n in (len(parts), len(parts) - 1):
+        if n > 1 and _is_key_text("".join(parts[:n])):
+            return ends[n - 1]
+    return None
+
+
+def _is_key_text(run: str) -> bool:
+    return is_key(bytes.fromhex(run) if HEX_KEY.fullmatch(run) else decode64(run))
 
 
 def is_basic(m: re.Match) -> bool:
@@ -151,13 +227,15 @@ def scan(text: str | None) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    blocks = [(m.start(), 3, m.end()) for m in PEM.finditer(text) if is_pem(m[3])] if "PRIVATE KEY" in text else []
+    blocks = [(m.start(), 3, m.end()) for m in PEM.finditer(text) if is_pem(m[3], m[1], bool(m[2]))] if "PRIVATE KEY" in text else []
     out += blocks
+    done = 0
     for m in BARE.finditer(text):
-        if any(a <= m.start() < b for a, _, b in blocks):
+        if m.start() < done or any(a <= m.start() < b for a, _, b in blocks):
             continue
-        if is_key(bytes.fromhex(m[0]) if HEX_KEY.fullmatch(m[0]) else decode64(m[0])):
-            out.append((m.start(), 4, m.end()))
+        if end := m.end() if _is_key_text(m[0]) else wrapped_key(text, m):
+            out.append((m.start(), 4, end))
+            done = end
     if "eyJ" in text:
         out += [(m.start(), 5, m.end()) for m in JWT.finditer(text) if is_jwt(m[0])]
     if "asic " in text or "://" in text:

@@ -97,3 +97,29 @@ def test_odd_rows(spark):
         (3, [("access", 11, 29)]),
     ]
     assert s.find_secrets(docs.where("false")).count() == 0
+
+
+def test_encrypted_and_openpgp_blocks():
+    shut = item(0x30, item(0x30, item(6, b"*\x86H\x86\xf7\r\1\5\r") + item(0x30, item(4, b"saltsalt"))) + item(4, b"c" * 200))
+    body = base64.b64encode(shut).decode()
+    assert kinds(pem(body, "ENCRYPTED ")) == ["pem"] and kinds(pem(body, "")) == kinds(pem(body[:-8], "ENCRYPTED ")) == []
+    for packet in (b"\xc5\x50" + b"\4" + b"k" * 79, b"\x95\0\x50" + b"\4" + b"k" * 79, b"\xc5\xc0\x08" + b"\4" + b"k" * 199):
+        lines = base64.b64encode(packet + b"\xcd\5alice").decode()
+        block = f"-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: GnuPG v2\n\n{lines}\n=aB3d\n-----END PGP PRIVATE KEY BLOCK-----"
+        assert kinds(block) == ["pem"]
+        assert kinds(block.replace(lines, base64.b64encode(packet).decode()[:-8])) == []
+    assert kinds(block.replace(lines, base64.b64encode(b"\xc6" + packet[1:]).decode())) == []  # a public key
+
+
+def test_wrapped_keys_are_decoded():
+    for width in (64, 76):
+        for end in ("\n", "\r\n", "\n  "):
+            body = end.join(B64[i : i + width] for i in range(0, len(B64), width))
+            for after in ("", "\nand then\n" + "A" * width):
+                assert [x for x in s.scan("the key:\n" + body + after) if x[1] > 2] == [(9, 4, 9 + len(body))], (width, end, after)
+            assert kinds("the key:\n" + body[: width * 2]) == []
+    raw = item(0x30, item(2, b"\0") + item(2, b"n" * 100) + item(2, b"e" * 33))  # 144 bytes: three whole lines of 64
+    full = base64.b64encode(raw).decode()
+    assert len(full) == 192
+    text = "\n".join(full[i : i + 64] for i in range(0, 192, 64))
+    assert s.scan(text + "\nword") == [(0, 4, len(text))]
