@@ -5,7 +5,8 @@ Kinds, in order: email, ip, card, phone (the base kinds), iban, ssn.
 - email, ip (parts at most 255), card (14 to 19 digits, Luhn) and phone (10 to
   15 digits) follow fixed patterns, leftmost and without overlap within a kind;
   what fails its check is dropped. They are always reported.
-- iban needs the mod-97 check; ssn has no checksum and needs a context word.
+- iban needs the mod-97 check; in groups of four it ends where its country's
+  ones do, whatever word follows (other countries': with the last group); ssn has no checksum and needs a context word.
 - Each span has a score: the kind's own, raised by a context word in the 40
   characters before it or the 20 after it (as far as the next hit of the kind).
   iban and ssn are reported from `REPORT_AT` on.
@@ -31,13 +32,27 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "ssn")
 REPORT_AT = 0.7
 
+#: Countries by the length of their IBAN.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ DO ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _grouped() -> str:
+    """IBANs in groups of four, each as long as its country's."""
+    body = lambda n: rf"(?:\x20[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf"\x20[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    return "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}{body(n)}" for n, c in IBAN_LENGTHS.items())
+
+
 #: The base patterns, with possessive runs. A run of local-part characters or digits is entered at its start or where the last match ended.
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_grouped()}|[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}|(?:\x20[A-Z0-9]{{4}}){{2,7}}(?:\x20[A-Z0-9]{{1,3}})?))(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 #: A text without this cannot hold the kind.

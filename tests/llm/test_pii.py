@@ -57,6 +57,12 @@ def test_checksums_and_context(spark):
     assert near > alone
 
 
+def test_words_after_a_grouped_iban(spark):
+    assert rendered(spark, "ES91 2100 0418 4502 0005 1332 EUR", "AT61 1904 3002 3457 3201 2024", "NO93 8601 1117 947 EUR") == ["iban:0:29", "iban:0:24", "iban:0:18"]
+    assert rendered(spark, "ES91 2100 0418 4502 0005 1332 AT61 1904 3002 3457 3201") == ["iban:0:29,iban:30:54"]
+    assert rendered(spark, "ES92 2100 0418 4502 0005 1332 EUR", "ES91 2100 0418 4502 0005 1332X") == ["", ""]
+
+
 def test_redaction(spark):
     rows = [(1, "mail a@b.cc now", 15, "k"), (1, "mail a@b.cc now", 15, "k"), (None, None, None, None), (2, "clean", 5, "k"), (3, "a.b@10.0.0.1 é +1 (482) 555-7163", 32, "k"), (4, "", 0, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, pii_spans string")
