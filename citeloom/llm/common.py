@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Rows up to which a narrow side may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
@@ -100,7 +101,7 @@ def portions(batch: pa.RecordBatch, rows: int, most: int = PORTION):
         at = end
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, rows: int = 1000) -> DataFrame:
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType, rows: int = 1000) -> DataFrame:
     """mapInArrow over portions of at most `rows` rows, one output batch for each."""
     ship(df.sparkSession)
 

@@ -35,6 +35,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import cut, map_arrow, maybe_broadcast, ship, table
 from .components import components
@@ -217,13 +218,8 @@ def _dedupe_then_verify(rows: pa.Table) -> pa.Table:
     return _verify_group(rows.take(pa.array(np.sort(first))))
 
 
-def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of `docs`.
-
-    doc_id; copy_id, the least id with the same shingles; class_id, the least id
-    of all that links connect; n_links, how many other rows are linked to it,
-    copies included; n_text_links, how many different sets of shingles are.
-    """
+def _linked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The columns of `link_documents` and rid, key and class of each row with an id; class is the same for what links connect."""
     sig = cut(signatures(docs, id_col, text_col))
     twins = cut(sig.where("key IS NOT NULL").groupBy("key").agg(F.min("rid").alias("node"), F.count("*").alias("copies"), F.min("doc_id").alias("copy_id")).where("copies > 1"))
     twins_hint = maybe_broadcast(twins, twins.count())
@@ -242,27 +238,64 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         counts = counts.drop("root").join(joined, "node")
     counts = cut(counts.join(nodes.select("node", "copy_id"), "node"))
     classes = counts.groupBy("root").agg(F.min("copy_id").alias("class_id"))
-    of_node = cut(counts.join(classes, "root").select("node", "class_id", "texts", "docs"))
+    of_node = cut(counts.join(classes, "root").select("node", "root", "class_id", "texts", "docs"))
     rows = members.join(maybe_broadcast(of_node, of_node.count()), "node", "left")
     zero = F.lit(0).cast("bigint")
-    out = rows.select(
+    return rows.select(
+        "rid",
+        "key",
+        F.coalesce("root", "node").alias("class"),
         "doc_id",
         "copy_id",
         F.coalesce("class_id", "copy_id").alias("class_id"),
         (F.col("copies") - 1 + F.coalesce("docs", zero)).alias("n_links"),
         F.coalesce("texts", zero).alias("n_text_links"),
     )
-    kind = dict(docs.dtypes)[id_col]
-    none = F.lit(None).cast(kind)
+
+
+def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each row of `docs`.
+
+    doc_id; copy_id, the least id with the same shingles; class_id, the least id
+    of all that links connect; n_links, how many other rows are linked to it,
+    copies included; n_text_links, how many different sets of shingles are.
+    """
+    out = _linked(docs, id_col, text_col).drop("rid", "key", "class")
+    none, zero = F.lit(None).cast(dict(docs.dtypes)[id_col]), F.lit(0).cast("bigint")
     nameless = docs.where(F.col(id_col).isNull()).select(none.alias("doc_id"), none.alias("copy_id"), none.alias("class_id"), zero.alias("n_links"), zero.alias("n_text_links"))
     return out.unionByName(nameless)
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` whose id is the least of its class, and those without an id."""
-    rows = link_documents(docs, id_col, text_col).where("doc_id IS NOT NULL")
-    gone = cut(rows.groupBy("doc_id").agg(F.max(F.col("class_id") == F.col("doc_id")).alias("stays")).where("NOT stays").select(F.col("doc_id").alias("__gone")))
-    return docs.join(maybe_broadcast(gone, gone.count()), F.col(id_col) == F.col("__gone"), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One row of each class of `docs`, of those with its least id, and the rows without an id.
+
+    Where every id is there once, an anti-join on the id drops the others; rows
+    that share an id are told apart by their shingles as well.
+    """
+    rows = cut(_linked(docs, id_col, text_col).select("rid", "doc_id", "key", "class"))
+    best = cut(rows.groupBy("class").agg(F.min(F.struct("doc_id", "rid")).alias("best"), F.count("*").alias("n")).where("n > 1").select("class", F.col("best.rid").alias("stays")))
+    gone = cut(rows.join(maybe_broadcast(best, best.count()), "class").where("rid <> stays").select("rid", F.col("doc_id").alias("__gone")))
+    vague = cut(rows.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__vague")))
+    n_gone, n_vague = gone.count(), vague.count()
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    ids = maybe_broadcast(gone.select("__gone"), n_gone)
+    if not n_vague:
+        return docs.join(ids, F.col(id_col) == F.col("__gone"), "left_anti").select(*names)
+    shared = maybe_broadcast(vague, n_vague)
+    plain = docs.join(shared, F.col(id_col) == F.col("__vague"), "left_anti").join(ids, F.col(id_col) == F.col("__gone"), "left_anti").select(*names)
+    again = docs.join(shared, F.col(id_col) == F.col("__vague"), "left_semi")
+
+    def keyed(b: pa.RecordBatch) -> pa.RecordBatch:
+        found = [shingles(t) for t in b.column(docs_text).to_pylist()]
+        keys = pa.array([set_key(f) if len(f) else None for f in found], pa.binary())
+        return pa.RecordBatch.from_arrays([*b.columns, keys], [*b.schema.names, "__key"])
+
+    docs_text = docs.columns.index(text_col)
+    again = map_arrow(again, keyed, StructType([*again.schema.fields, StructField("__key", BinaryType())]))
+    stay = rows.where("key IS NOT NULL").join(shared, F.col("doc_id") == F.col("__vague"), "left_semi").join(gone.select("rid"), "rid", "left_anti")
+    stay = cut(stay.select(F.col("doc_id").alias("__id"), F.col("key").alias("__stay")))
+    one = again.join(maybe_broadcast(stay, stay.count()), (F.col(id_col) == F.col("__id")) & (F.col("__key") == F.col("__stay")), "left_semi").dropDuplicates([id_col, "__key"])
+    return plain.unionByName(again.where("__key IS NULL").unionByName(one).select(*names))
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,6 +86,20 @@ def test_odd_rows(spark):
     assert n.link_documents(docs.where("false")).count() == n.keep_one_of_each(docs.where("false")).count() == 0
 
 
+def test_one_of_each_class_stays_where_ids_repeat(spark):
+    base = [f"w{i}" for i in range(60)]
+    text = lambda *changed: " ".join("x" if i in changed else w for i, w in enumerate(base))
+    lone, other = "a text that is like no other here", " ".join(f"v{i}" for i in range(40))
+    rows = [(5, text()), (5, text(1)), (5, lone), (6, text(58)), (7, other), (9, other + " tail"), (9, "a b c"), (9, "a b c"), (9, None), (9, ""), (None, lone)]
+    docs = spark.createDataFrame([(t, i, {"k": 1}) for i, t in rows], "text string, doc_id long, more map<string,int>").repartition(3)
+    kept = n.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    ours = [(i, t) for i, t in got if t and t.startswith("w0")]
+    assert len(ours) == 1 and ours[0][0] == 5
+    assert sorted((x for x in got if x not in ours), key=str) == sorted([(5, lone), (7, other), (9, "a b c"), (9, None), (9, ""), (None, lone)], key=str)
+
+
 def test_similar_matrix():
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(0, 30, rng.integers(1, 25))) for _ in range(60)]
