@@ -30,8 +30,8 @@ LOWERED = str.maketrans(UPPER, LOWER)
 HOST_RULES = (
     ("block", "com", "/en/"),
     ("allow", "example.com", "/en/7"),
-    ("block", "net", "/de/"),
-    ("allow", "example.net", "/de/8"),
+    ("allow", "net", "/de/"),
+    ("block", "example.net", "/de/8"),
     ("block", "org", "/es/"),
 )
 
@@ -210,26 +210,37 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"))
 
 
-def _oracle() -> str:
-    host_fits = lambda h: f"(host = '{h}' OR ends_with(host, '.{h}'))"
-    rank = sorted(HOST_RULES, key=lambda r: (-len(r[1] + r[2]), -len(r[1]), r[0] != "block"))
-    pick = lambda of: "CASE " + " ".join(f"WHEN {host_fits(h)} AND starts_with(path, '{p}') THEN '{of(a, h, p)}'" for a, h, p in rank) + " ELSE NULL END"
-    esc = lambda g: "".join({"*": "[^/]*", "?": "[^/]", "\0": "(?s:.*)"}.get(c, "\\" + c if not c.isalnum() else c) for c in g.replace("**", "\0"))
-    regex = lambda g: "^" + esc(g) + ("$" if "/" in g or "**" in g else "(/(?s:.*))?$")
-    globs = ", ".join(f"CASE WHEN regexp_matches(host || path, '{regex(g)}') THEN '{g}' END" for g in BLOCK_GLOBS)
-    return f"""
+# Written out by hand, so that it does not follow the rules above: the longest rule that fits wins, and the globs decide for the rest.
+ORACLE = r"""
     WITH parts AS (
       SELECT page_id,
-             translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{UPPER}', '{LOWER}') AS host,
+             translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
              coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
       FROM pages),
-    judged AS (
-      SELECT *, {pick(lambda a, h, p: h + p)} AS rule, {pick(lambda a, h, p: a)} AS action,
-             nullif(concat_ws(',', {globs}), '') AS globs
+    rules(rule, action, rule_host, rule_path) AS (VALUES
+      ('com/en/', 'block', 'com', '/en/'),
+      ('example.com/en/7', 'allow', 'example.com', '/en/7'),
+      ('net/de/', 'allow', 'net', '/de/'),
+      ('example.net/de/8', 'block', 'example.net', '/de/8'),
+      ('org/es/', 'block', 'org', '/es/')),
+    best AS (
+      SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action
+      FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+      GROUP BY page_id),
+    globbed AS (
+      SELECT page_id, nullif(concat_ws(',',
+        CASE WHEN regexp_matches(host || path, '^[^/]*spam-farm[^/]*(/(?s:.*))?$') THEN '*spam-farm*' END,
+        CASE WHEN regexp_matches(host || path, '^[^/]*cheap-pills[^/]*(/(?s:.*))?$') THEN '*cheap-pills*' END,
+        CASE WHEN regexp_matches(host || path, '^[^/]*casino[^/]*(/(?s:.*))?$') THEN '*casino*' END,
+        CASE WHEN regexp_matches(host || path, '^[^/]*viagra[^/]*(/(?s:.*))?$') THEN '*viagra*' END,
+        CASE WHEN ends_with(host || path, '/wp-login.php') THEN '**/wp-login.php' END,
+        CASE WHEN contains(host || path, '/cgi-bin/') THEN '**/cgi-bin/**' END,
+        CASE WHEN ends_with(host || path, '.exe') THEN '**.exe' END,
+        CASE WHEN ends_with(host || path, '.zip') THEN '**.zip' END), '') AS globs
       FROM parts)
-    SELECT page_id, host, path, rule, coalesce(action, CASE WHEN globs IS NULL THEN 'allow' ELSE 'block' END) AS verdict, globs
-    FROM judged"""
+    SELECT p.page_id, host, path, rule, coalesce(action, CASE WHEN globs IS NULL THEN 'allow' ELSE 'block' END) AS verdict, globs
+    FROM parts p LEFT JOIN best USING (page_id) JOIN globbed USING (page_id)"""
 
 
 QUERIES = {"op1_url_filter": op1_url_filter}
-ORACLES = {"op1_url_filter": _oracle()}
+ORACLES = {"op1_url_filter": ORACLE}

@@ -45,10 +45,35 @@ def test_longest_rule_wins():
     urls = ["http://com/en/", "http://x.example.com/en/7a", "http://badexample.com/en/7", "http://example.com/EN/", "https://example.net/de/8", "http://a.org/es", "http://casino.org/x", None, "http://org.com/es/"]
     hosts, paths, rules, verdicts, globs = run(urls)
     assert rules == ["com/en/", "example.com/en/7", "com/en/", None, "example.net/de/8", None, None, None, None]
-    assert verdicts == ["block", "allow", "block", "allow", "allow", "allow", "block", "allow", "allow"]
+    assert verdicts == ["block", "allow", "block", "allow", "block", "allow", "block", "allow", "allow"]
     assert globs[6] == "*casino*"
 
 
+@pytest.mark.parametrize(
+    ("url", "rule", "verdict"),
+    [
+        ("http://com/en/", "com/en/", "block"),
+        ("http://a.com/en/x", "com/en/", "block"),
+        ("http://example.com/en/6", "com/en/", "block"),
+        ("http://example.com/en/7", "example.com/en/7", "allow"),
+        ("http://w.example.com/en/71?q", "example.com/en/7", "allow"),
+        ("http://net/de/", "net/de/", "allow"),
+        ("http://a.net/de/casino.exe", "net/de/", "allow"),
+        ("http://example.net/de/7", "net/de/", "allow"),
+        ("http://example.net/de/8", "example.net/de/8", "block"),
+        ("http://W.Example.NET/de/89#x", "example.net/de/8", "block"),
+        ("http://org/es/", "org/es/", "block"),
+        ("http://example.org/es/8", "org/es/", "block"),
+        ("http://a.org/de/8", None, "allow"),
+        ("http://notcom/en/", None, "allow"),
+    ],
+)
+def test_the_five_rules(url, rule, verdict):
+    """By host, subdomain and longer rule, as the contract words them."""
+    _, _, rules, verdicts, _ = u.judge(u.HOST_RULES, u.BLOCK_GLOBS)([url])
+    assert (rules, verdicts) == ([rule], [verdict])
+
+
 def test_frames(spark, middle, same):
     assert same(u.op1_url_filter, u.ORACLES["op1_url_filter"], middle) == 250
     odd = spark.createDataFrame([(1, None, "x"), (1, None, "x"), (None, "http://a.com/en/" + "z" * 300_000, "y"), (2, "", None)], "page_id long, url string, verdict string")
