@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -12,15 +12,20 @@ def fold(id_col: Column, folds: int) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, most: dict[int, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Text and label of at most `most[y]` documents of each class, chosen by a hash of the id.
+    """doc_id, text and label of at most `most[y]` documents of each class, chosen by a hash of the id.
 
     `usable` is a condition on the labels' rows. The chosen ids are bounded by
     `most`, so they are broadcast; the documents are read once and not moved.
+    An id that several documents share brings them all, so the bound is put on
+    the joined rows again: of equal ids the least texts by hash, then by text.
     """
     chosen = None
     for y, n in sorted(most.items()):
-        rows = labels.where(usable & (F.col(label) == y)).select(F.col(id_col).alias("__id"), F.col(label).cast("int").alias("label")).where("__id IS NOT NULL").dropDuplicates(["__id"])
-        part = rows.orderBy(F.xxhash64("__id"), "__id").limit(n)
+        rows = labels.where(usable & (F.col(label) == y)).select(F.col(id_col).alias("doc_id"), F.col(label).cast("int").alias("label")).where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+        part = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
         chosen = part if chosen is None else chosen.unionByName(part)
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(chosen), "__id").select(F.col("__id").alias("doc_id"), "text", "label")
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    joined = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "text")
+    bound = F.element_at(F.create_map(*[F.lit(x) for item in sorted(most.items()) for x in item]), F.col("label"))
+    return joined.withColumn("__nth", F.row_number().over(order)).where((F.col("__nth") <= max(most.values())) & (F.col("__nth") <= bound)).drop("__nth")

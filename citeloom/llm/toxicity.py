@@ -1,35 +1,37 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries, one of toxic and one of ordinary text, compress
+Two zstandard dictionaries, one for toxic and one for ordinary text, compress
 short windows of a document; a window that the toxic dictionary makes shorter
-speaks for toxic content. A logistic calibration turns the lengths saved over
-all windows of a document into a score.
+speaks for toxic content. Calibrated thresholds on the lengths saved turn a
+document's windows into a score.
 
 Training, on a bounded sample of labelled rows (`SAMPLE` documents a class, of
-at most `LONGEST` characters):
-
-1. `train_dictionary` learns a body, content and entropy tables, from all windows
-   of the sample's ordinary text.
-2. The toxic dictionary is that body and a tail of the words that mark toxic
-   text, the ordinary one the body with its own end again, for equal length: so
-   lengths differ only where toxic content is matched. A word is a candidate
-   when its contexts are `RATIO` times as frequent as in ordinary text, in
-   `LEAST` documents or more; words are taken greedily by the documents that they
-   cover (each cover lowers a document's weight, so a family of copies counts
-   little) while one covers a fifth of what the first did. Where no word does,
-   the tail is the end of a dictionary trained on the toxic sample; a sample too
-   small to train on is its own dictionary.
-3. The evidence of a window is the log-likelihood ratio of its saving in toxic
-   and ordinary documents. A logistic regression on the shares of windows with
-   large savings (logarithms, so that one stray match counts less the longer the
-   text) and the mean evidence calibrates the score. The sample holds more toxic
-   documents than the corpus; the intercept moves half the way back, which puts
-   the threshold between the likelier label and equal care for both classes.
-4. Shares dilute one toxic passage in a long text, so a second regression, with
-   the same intercept rule, calibrates the passage: the largest summed evidence
-   over a run of at most `RUN` neighbouring windows, less the logarithm of the
-   number of windows, as chance runs of log-likelihood ratios grow by that with
-   the length. A document's score is the greater of the two.
+at most `LONGEST` characters; equal texts count once):
+
+1. The sample is dealt in two: of each class, one in `PARTS` documents calibrates
+   and the others train the dictionaries, so lengths are never calibrated on text
+   that a dictionary has seen. (A class too small to be dealt does both.)
+2. Each class has its dictionary, trained by zstandard on windows of its own text.
+   What both classes say alike tells nothing, and a dictionary of toxic text would
+   hold little else, as toxic documents are mostly ordinary prose; so toxic texts
+   are first thinned to words that are `RATIO` times as frequent in them as in
+   ordinary documents and are used by `LEAST` of them. Where nothing is left
+   (small samples) whole windows are trained on, and text too little to train on
+   is its own dictionary.
+3. Both stand behind one common ground, trained on ordinary text as well, and are
+   of equal length: general text is matched alike by both, and lengths differ by
+   what marks toxic text.
+4. On the calibrating documents, the evidence of a window is the log-likelihood
+   ratio of its saving in toxic and ordinary documents. One logistic regression
+   takes a document's shares of windows over thresholds of saving, its mean and its
+   summed evidence. Shares dilute one toxic passage in a long text, so another
+   takes the largest summed evidence over a run of at most `RUN` neighbouring
+   windows, less the logarithm of the number of windows, as chance runs of
+   log-likelihood ratios grow by that with the length; here the ratio is that of
+   toxic windows, which the savings of toxic documents hold beside ordinary ones. The greater of the two is
+   calibrated once more, and the intercept is moved from the sample's share of
+   toxic documents to that of all labels. Texts in ASCII and others are calibrated
+   apart, as chance matches of syllables differ.
 
 Scoring reads whole texts, window by window, in bounded memory. A null or
 empty text has no windows and no savings and is scored from that alone.
@@ -44,8 +46,8 @@ from __future__ import annotations
 import math
 import random
 import re
-from collections import Counter, defaultdict
-from dataclasses import dataclass
+from collections import Counter
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -56,20 +58,27 @@ from pyspark.sql import functions as F
 from .common import map_arrow, table
 from .labelled import fold, sample
 
-WINDOW = 48
-LEVEL = 6
-BODY, TAIL = 6144, 768
-SAMPLE = {0: 3000, 1: 2000}
+WINDOW = 36
+#: Bytes of the common ground, of each class's own content, and of the head that a trained dictionary has before its content. They fit a window of 2 ** 14.
+GROUND, OWN, HEAD = 12_288, 1024, 512
+SAMPLE = {0: 4000, 1: 4000}
 LONGEST = 60_000
-RATIO, LEAST, FADE, WORTH = 8.0, 4, 0.8, 0.2
+#: A word marks toxic text if it is so many times as frequent there, and used by that share of the toxic documents (and by `FEW` at least).
+RATIO, LEAST, FEW = 8.0, 0.01, 4
+PARTS = 6
 #: Windows that a toxic passage is looked for in.
 RUN = 8
 #: Savings beyond these count as these.
 LOW, HIGH = -8, 15
 THRESHOLD = 0.5
+#: Texts of another form (letters beyond ASCII) are matched by chance more often, so each is calibrated by itself where it has `ENOUGH` documents of both classes.
+FORMS, OTHER, ENOUGH = 2, 0.02, 20
 FOLDS, HELD_OUT = 5, 0
 
+_BEYOND = bytes(range(128, 256))
 _WORD = re.compile(r"\w+")
+#: Short matches count: most of what marks a class is words.
+_PARAMETERS = {"window_log": 14, "chain_log": 14, "hash_log": 14, "search_log": 6, "min_match": 4, "target_length": 32, "strategy": zstandard.STRATEGY_LAZY}
 
 
 def windows(text: str | None, size: int = WINDOW) -> list[bytes]:
@@ -86,101 +95,109 @@ def windows(text: str | None, size: int = WINDOW) -> list[bytes]:
     return out
 
 
-def _contexts(texts: list[str]) -> dict[str, int]:
-    """For each word the lesser of its documents and its distinct left neighbours."""
-    left, documents = defaultdict(set), Counter()
-    for text in texts:
-        words = _WORD.findall(text.lower())
-        documents.update(set(words))
-        for a, b in zip(["", *words], words, strict=False):
-            left[b].add(a)
-    return {w: min(len(x), documents[w]) for w, x in left.items()}
-
-
-def marking_words(own: list[str], other: list[str]) -> list[str]:
-    """Words that mark `own` against `other`, most covering first."""
-    a, b = _contexts(own), _contexts(other)
-    total_a, total_b = max(1, sum(a.values())), max(1, sum(b.values()))
-    marks = {w for w, n in a.items() if n >= LEAST and len(w) > 2 and n / total_a >= RATIO * (b.get(w, 0) + 0.5) / total_b}
-    where = defaultdict(list)
-    for i, text in enumerate(own):
-        for w in set(_WORD.findall(text.lower())) & marks:
-            where[w].append(i)
-    weight, out, first = [1.0] * len(own), [], 0.0
-    while where:
-        covered = {w: sum(weight[i] for i in rows) for w, rows in where.items()}
-        best = max(covered, key=lambda w: (covered[w], w))
-        first = first or covered[best]
-        if covered[best] < max(LEAST, WORTH * first):
-            break
-        out.append(best)
-        for i in where.pop(best):
-            weight[i] *= FADE
-    return out
+def form(text: str | None) -> int:
+    """0: nearly all ASCII; 1: more than `OTHER` of the bytes beyond it."""
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    return int(len(raw) - len(raw.translate(None, _BEYOND)) > OTHER * len(raw))
 
 
-def _tail(words: list[str]) -> bytes:
-    """The words, most typical last."""
-    return (" " + " ".join(reversed(words)) + " ").encode()[-TAIL:] if words else b""
+def contrasted(own: list[str], other: list[str]) -> list[bytes]:
+    """Windows of the texts `own`, thinned to words that mark them against `other`, each once a text."""
+    mine, theirs = ([dict.fromkeys(_WORD.findall(t.lower())) for t in texts] for texts in (own, other))
+    a, b = Counter(w for t in mine for w in t), Counter(w for t in theirs for w in t)
+    least = max(FEW, LEAST * len(own))
+    marks = {w for w, n in a.items() if n >= least and n * len(other) >= RATIO * (b[w] + 0.5) * len(own)}
+    return [b" " + w + b" " for t in mine for w in windows(" ".join(w for w in t if w in marks), 64)]
 
 
-def _dictionary(parts: list[bytes]) -> bytes:
+def _trained(size: int, parts: list[bytes]) -> bytes:
     """A trained dictionary, or the last of the text itself where there is too little to train on."""
     try:
-        return zstandard.train_dictionary(BODY, parts).as_bytes()
+        return zstandard.train_dictionary(size, parts).as_bytes()
     except (zstandard.ZstdError, ValueError):
-        return b"".join(parts)[-BODY:]
+        return b"".join(parts)[-size:]
+
+
+def dictionaries(own: list[str], other: list[str], seed: int = 7) -> tuple[bytes, bytes]:
+    """(toxic, ordinary) dictionaries of equal length from texts of both classes."""
+    order = random.Random(seed)
+
+    def mixed(parts: list[bytes]) -> list[bytes]:
+        order.shuffle(parts)
+        return parts
+
+    plain = mixed([w for t in other for w in windows(t, 256)])
+    ground, ordinary = _trained(GROUND, plain), _trained(OWN + HEAD, plain)
+    toxic = _trained(OWN + HEAD, mixed(contrasted(own, other)) or mixed([w for t in own for w in windows(t, 256)]))
+    size = min(OWN, len(toxic), len(ordinary))
+    return (ground + toxic[-size:], ground + ordinary[-size:]) if size else (b"", b"")
+
+
+def compressors(toxic: bytes, ordinary: bytes) -> list:
+    """Functions from bytes to their compressed form under the ordinary and the toxic dictionary."""
+    made = []
+    for raw in (ordinary, toxic):
+        p = zstandard.ZstdCompressionParameters(**_PARAMETERS, write_content_size=False, write_checksum=False, write_dict_id=False)
+        d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_AUTO)
+        d.precompute_compress(compression_params=p)
+        made.append(zstandard.ZstdCompressor(dict_data=d, compression_params=p).compress)
+    return made
 
 
 @dataclass
-class Model:
-    toxic: bytes
-    ordinary: bytes
+class Calibration:
+    """From savings to log-odds. evidence and sharp: by saving, of a toxic document's window and of a toxic window; weights, passage and joint: regressions, intercept first."""
+
     evidence: np.ndarray
+    sharp: np.ndarray
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
     passage: np.ndarray
-    prior: float
+    joint: np.ndarray
+
+    def greater(self, x: np.ndarray) -> np.ndarray:
+        whole = (x[:, :-1] - self.mean) / self.scale @ self.weights[1:] + self.weights[0]
+        return np.maximum(whole, x[:, -1] * self.passage[1] + self.passage[0])
+
+    def log_odds(self, gain: np.ndarray) -> float:
+        return float(self.greater(np.array([all_features(gain, self.evidence, self.sharp)]))[0] * self.joint[1] + self.joint[0])
 
-    def _compressors(self):
-        made = []
-        for raw in (self.ordinary, self.toxic):
-            d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_AUTO)
-            d.precompute_compress(level=LEVEL)
-            made.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False))
-        return made
+
+@dataclass
+class Model:
+    """Two dictionaries and a calibration for each form of text; no dictionaries where there was nothing to learn from."""
+
+    toxic: bytes
+    ordinary: bytes
+    forms: tuple[Calibration, ...]
+    prior: float
 
     def scorer(self):
         """A function from texts to scores."""
         if not self.toxic:
             return lambda texts: np.full(len(texts), self.prior)
-        ordinary, toxic = self._compressors()
-        return lambda texts: self.calibrated(np.array([all_features(savings(t, ordinary, toxic), self.evidence) for t in texts]).reshape(len(texts), N_FEATURES + 1))
-
-    def calibrated(self, x: np.ndarray) -> np.ndarray:
-        x = (x - self.mean) / self.scale
-        z = np.maximum(x[:, :-1] @ self.weights[1:] + self.weights[0], x[:, -1] * self.passage[1] + self.passage[0])
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        pair = compressors(self.toxic, self.ordinary)
+        odds = lambda t: self.forms[form(t)].log_odds(savings(t, *pair))
+        return lambda texts: 1 / (1 + np.exp(-np.clip(np.array([odds(t) for t in texts], dtype=np.float64), -30, 30)))
 
 
-N_FEATURES = 5
-#: Savings whose shares are features, and what is added to a share before its logarithm.
-LARGE, FLOOR = (4, 5, 6), 0.003
+#: Savings whose shares are features, what is added to a share before its logarithm, and the most that summed evidence counts.
+LARGE, FLOOR, MOST = (3, 4, 5, 6), 0.003, 12.0
+N_FEATURES = len(LARGE) + 3
 
 
 def savings(text: str | None, ordinary, toxic) -> np.ndarray:
     """Bytes that the toxic dictionary saves on each window of a text."""
-    a, b = ordinary.compress, toxic.compress
-    return np.clip(np.array([len(a(w)) - len(b(w)) for w in windows(text)], dtype=np.int64), LOW, HIGH)
+    return np.clip(np.array([len(ordinary(w)) - len(toxic(w)) for w in windows(text)], dtype=np.int64), LOW, HIGH)
 
 
 def features(gain: np.ndarray, evidence: np.ndarray) -> list[float]:
     """What the savings of a document's windows amount to."""
     if not len(gain):
-        return [math.log(FLOOR)] * len(LARGE) + [0.0, 0.0]
+        return [math.log(FLOOR)] * len(LARGE) + [0.0, 0.0, 0.0]
     each = evidence[gain - LOW]
-    return [*[math.log((gain >= k).mean() + FLOOR) for k in LARGE], each.mean(), np.maximum(each, 0).mean()]
+    return [*[math.log((gain >= k).mean() + FLOOR) for k in LARGE], each.mean(), np.maximum(each, 0).mean(), min(MOST, max(-MOST, each.sum()))]
 
 
 def densest(gain: np.ndarray, evidence: np.ndarray) -> float:
@@ -191,8 +208,8 @@ def densest(gain: np.ndarray, evidence: np.ndarray) -> float:
     return max(float((total[n:] - total[:-n]).max()) for n in range(1, min(RUN, len(gain)) + 1)) - math.log(len(gain))
 
 
-def all_features(gain: np.ndarray, evidence: np.ndarray) -> list[float]:
-    return [*features(gain, evidence), densest(gain, evidence)]
+def all_features(gain: np.ndarray, evidence: np.ndarray, sharp: np.ndarray) -> list[float]:
+    return [*features(gain, evidence), densest(gain, sharp)]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
@@ -213,37 +230,53 @@ def _log_odds(p: float) -> float:
     return math.log(p / (1 - p))
 
 
+def calibrate(gains: list[np.ndarray], y: np.ndarray, common: Calibration | None = None) -> Calibration:
+    """Fit on savings of documents that trained no dictionary, and their labels. A common calibration gives what concerns passages."""
+    seen = np.full((2, HIGH - LOW + 1), 0.5)
+    for gain, k in zip(gains, y, strict=True):
+        np.add.at(seen[int(k)], gain - LOW, 1)
+    often = seen / seen.sum(1, keepdims=True)
+    evidence = np.log(often[1] / often[0])
+    if common:
+        sharp = common.sharp
+    else:
+        # most windows of a toxic document are ordinary; what is more than those explain is the toxic ones'
+        nothing = slice(0, 1 - LOW)
+        toxic = min(0.9, max(0.02, 1 - often[1][nothing].sum() / often[0][nothing].sum()))
+        own = np.maximum(often[1] - (1 - toxic) * often[0], 0.02 * toxic * often[1])
+        sharp = np.log(own / own.sum() / often[0])
+    raw = np.array([all_features(g, evidence, sharp) for g in gains])
+    mean, scale = raw[:, :-1].mean(0), raw[:, :-1].std(0) + 1e-6
+    passage = common.passage if common else _logistic(raw[:, -1:], y)
+    out = Calibration(evidence, sharp, mean, scale, _logistic((raw[:, :-1] - mean) / scale, y), passage, np.zeros(2))
+    out.joint = _logistic(out.greater(raw)[:, None], y, ridge=1e-3)
+    return out
+
+
 def train(texts: list[str], labels: list[int], share: float | None = None, seed: int = 7) -> Model:
     """Dictionaries and calibration from labelled texts; `share` of the corpus's labels are toxic, if known."""
-    y = np.array(labels, dtype=np.float64)
-    prior = float(y.mean()) if len(y) else 0.5
-    none = Model(b"", b"", np.zeros(HIGH - LOW + 1), np.zeros(N_FEATURES + 1), np.ones(N_FEATURES + 1), np.zeros(N_FEATURES + 1), np.zeros(2), prior)
-    if not len(y) or y.min() == y.max():
+    prior = float(np.mean(labels)) if labels else 0.5
+    none = Model(b"", b"", (), prior)
+    if not 0 < prior < 1:
         return none
-    own, other = [t for t, v in zip(texts, labels, strict=True) if v], [t for t, v in zip(texts, labels, strict=True) if not v]
-    parts = [w for t in other for w in windows(t, 256)]
-    random.Random(seed).shuffle(parts)
-    body = _dictionary(parts)
-    tail = _tail(marking_words(own, other)) or _dictionary([w for t in own for w in windows(t, 256)])[-TAIL:]
-    tail = tail[-max(1, len(body) // 2) :]
-    if not body or not tail:
+    classes = [list(dict.fromkeys(t for t, v in zip(texts, labels, strict=True) if v == k)) for k in (0, 1)]
+    dealt = [(c[::PARTS], [t for i, t in enumerate(c) if i % PARTS]) if len(c) > PARTS else (c, c) for c in classes]
+    toxic, ordinary = dictionaries(dealt[1][1], dealt[0][1], seed)
+    if not toxic:
         return none
-    model = Model(body + tail, body + body[-len(tail) :], none.evidence, none.mean, none.scale, none.weights, none.passage, prior)
-    ordinary, toxic = model._compressors()
-    gains = [savings(t, ordinary, toxic) for t in texts]
-    seen = np.full((2, HIGH - LOW + 1), 0.5)
-    for gain, v in zip(gains, labels, strict=True):
-        np.add.at(seen[int(v)], gain - LOW, 1)
-    often = seen / seen.sum(1, keepdims=True)
-    model.evidence = np.log(often[1] / often[0])
-    x = np.array([all_features(g, model.evidence) for g in gains])
-    model.mean, model.scale = x.mean(0), x.std(0) + 1e-6
-    x = (x - model.mean) / model.scale
-    model.weights, model.passage = _logistic(x[:, :-1], y), _logistic(x[:, -1:], y)
-    if share and share < 1:
-        for w in (model.weights, model.passage):
-            w[0] += (_log_odds(share) - _log_odds(prior)) / 2
-    return model
+    pair = compressors(toxic, ordinary)
+    gains = [savings(t, *pair) for calibrating, _ in dealt for t in calibrating]
+    kinds = np.array([form(t) for calibrating, _ in dealt for t in calibrating])
+    y = np.repeat([0.0, 1.0], [len(calibrating) for calibrating, _ in dealt])
+    whole = calibrate(gains, y)
+    forms = []
+    for k in range(FORMS):
+        mine = np.flatnonzero(kinds == k)
+        enough = all((y[mine] == c).sum() >= ENOUGH for c in (0, 1))
+        forms.append(calibrate([gains[i] for i in mine], y[mine], whole) if enough else replace(whole, joint=whole.joint.copy()))
+        if share and share < 1:
+            forms[-1].joint[0] += _log_odds(share) - _log_odds(float(y.mean()))
+    return Model(toxic, ordinary, tuple(forms), prior)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
