@@ -9,11 +9,13 @@ until no pair of the word is in the table. Decoding joins ids with the
 vocabulary and puts the bytes together by ordered aggregation.
 
 Encoded pieces are kept from batch to batch in the worker, up to
-`CACHE_PIECES`; when more have come, the store starts anew. Memory so stays
-bounded however large the partition is. A null text counts as empty: no ids,
-no bytes. Pieces of more than `LONG` bytes, which no prose holds, would need a
-step for each byte and are contracted in the same order with a heap. Empty tables give empty results; repeated rows and null ids are
-encoded row by row, other columns are ignored. Whole texts are encoded.
+`CACHE_PIECES` pieces and `CACHE_CHARS` characters; when more have come, the
+store starts anew. A query takes words up to `SQUARES`, so memory stays bounded
+however large the partition is and however long its words are. A null text
+counts as empty: no ids, no bytes. Pieces of more than `LONG` bytes, which no
+prose holds, would need a step for each byte and are contracted in the same
+order with a heap. Empty tables give empty results; repeated rows and null ids
+are encoded row by row, other columns are ignored. Whole texts are encoded.
 """
 
 from __future__ import annotations
@@ -34,10 +36,12 @@ from .common import map_arrow, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 CACHE_PIECES = 700_000
-#: Words to a recursive query.
-WORDS = 50_000
-#: Bytes from which a piece is merged with a heap instead: the query contracts one pair a step, so a step for each byte.
-LONG = 256
+#: Characters kept for pieces and segments.
+CACHE_CHARS = 150_000_000
+#: Words to a recursive query, and the sum of their squared lengths, as the query makes a row for each token and step.
+WORDS, SQUARES = 50_000, 100_000_000
+#: Bytes beyond which a piece is merged with a heap instead: the query contracts one pair a step, so its time grows with the square (0.6 s for 4000 bytes, against 0.01 s).
+LONG = 1024
 #: Documents that are encoded together.
 BATCH = 500
 
@@ -99,6 +103,7 @@ class Codec:
         self.pieces: dict[str, tuple[str, bytes]] = {}
         self.plain: dict[str, tuple[str, bytes]] = {}
         self.spaced: dict[str, tuple[str, bytes]] = {}
+        self.chars = 0
 
     def _store(self, name: str, columns: dict) -> None:
         self.db.register("incoming", pa.table(columns))
@@ -135,6 +140,7 @@ class Codec:
         self._store("coded", {"word": word, "pos": pos, "token": token})
         for w, ids, hexed in self.db.execute(DECODE).fetchall():
             self.pieces[names[w]] = (ids, bytes.fromhex(hexed))
+            self.chars += len(ids) + len(hexed)
 
     def encode_pieces(self, pieces: list[str]) -> None:
         """Fill `pieces` for distinct pieces: the whole piece's rank, or the merges' fixpoint."""
@@ -148,8 +154,12 @@ class Codec:
             ids = np.array(self._merge_long(raw), dtype=np.int32)
             self._coded([p], np.zeros(len(ids), dtype=np.int32), np.arange(len(ids), dtype=np.int32), ids)
         spell.sort(key=lambda x: len(x[1]))
-        for at in range(0, len(spell), WORDS):
-            part = spell[at : at + WORDS]
+        squares = np.cumsum([len(raw) ** 2 for _, raw in spell])
+        at = 0
+        while at < len(spell):
+            before = squares[at - 1] if at else 0
+            end = max(at + 1, min(at + WORDS, int(np.searchsorted(squares, before + SQUARES, side="right"))))
+            part, at = spell[at:end], end
             lengths = np.array([len(raw) for _, raw in part])
             word = np.repeat(np.arange(len(part), dtype=np.int32), lengths)
             pos = (np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
@@ -174,13 +184,14 @@ class Codec:
         for s, c in zip(segments, cut, strict=True):
             got = [known[p] for p in c]
             store[s] = got[0] if len(got) == 1 else (" ".join([x for x, _ in got]), b"".join([x for _, x in got]))
+            self.chars += 8 * len(s)
 
     def run(self, texts: list[str | None]) -> list[tuple[str, bytes]]:
         """Ids, joined by spaces, and decoded bytes of each text."""
         out: list[tuple[str, bytes]] = []
         cut = [self.segments(t or "") for t in texts]
-        if len(self.plain) + len(self.spaced) > CACHE_PIECES or len(self.pieces) > CACHE_PIECES:
-            self.plain, self.spaced, self.pieces = {}, {}, {}
+        if len(self.plain) + len(self.spaced) > CACHE_PIECES or len(self.pieces) > CACHE_PIECES or self.chars > CACHE_CHARS:
+            self.plain, self.spaced, self.pieces, self.chars = {}, {}, {}, 0
         for store, k, before in ((self.plain, 0, ""), (self.spaced, 1, " ")):
             new: set[str] = set()
             for c in cut:

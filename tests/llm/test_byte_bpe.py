@@ -27,7 +27,7 @@ def test_round_trip_and_library(codec, library):
     rnd = random.Random(6)
     parts = ["a", "the", " ", "  ", "\n", "\t", "é", "日本", "😀", "'s", "'t", "1", "23", "...", "!", "\x1c", "\x85", "\xa0", "​", "ß", "aaaa", "hello world", " x ", "ing", "\r\n"]
     texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25))) for _ in range(3000)]
-    texts += ["", None, " " * 500, "a" * 255, "a" * 256, "ab" * 129, "é" * 999, "x " * 4000 + " "]
+    texts += ["", None, " " * 500, "a" * 255, "a" * 256, "ab" * 129, "é" * 999, "b" * 1024, "ba" * 513, "x " * 4000 + " "]
     for text, (got, raw) in zip(texts, codec.run(texts), strict=True):
         assert got == ids(library, text) and raw == (text or "").encode(), text
 
@@ -42,6 +42,19 @@ def test_heap_equals_recursion(codec):
             assert " ".join(map(str, codec._merge_long(w.encode()))) == codec.pieces[w][0]
 
 
+def test_many_long_words_fit_the_memory(codec, library, monkeypatch):
+    """One text of distinct words of 250 letters, dealt to several queries."""
+    rnd = random.Random(8)
+    text = " ".join("".join(rnd.choice("etaoinshrdlu") for _ in range(250)) for _ in range(3000))
+    monkeypatch.setattr(b, "SQUARES", 50_000_000)
+    codec.pieces, codec.plain, codec.spaced = {}, {}, {}
+    ((got, raw),) = codec.run([text])
+    assert got == ids(library, text) and raw == text.encode()
+    monkeypatch.setattr(b, "CACHE_CHARS", 1000)
+    assert codec.run(["short text"]) == [(ids(library, "short text"), b"short text")]
+    assert codec.chars < 1000 and len(codec.pieces) < 10
+
+
 def test_store_is_bounded(codec, library, monkeypatch):
     monkeypatch.setattr(b, "CACHE_PIECES", 50)
     texts = [f"word{i} other{i * 7}" for i in range(300)]
