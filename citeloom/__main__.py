@@ -13,7 +13,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from citeloom.plans.registry import Engine
-from citeloom.plans.workflows import Result
+from citeloom.plans.workflows import FAILED, Result
 from citeloom.sources.tables import Tables
 
 #: Workflow: the options that it takes.
@@ -28,6 +28,7 @@ ACTIONS = {
 }
 FLAGS = ("sci_flag", "sort_citation", "sort_year")
 NUMBERS = ("year", "size", "page")
+DEFAULTS = {"size": 10, "page": 0, "order": "n_citation"}
 #: Where the operation or its parameter has another name.
 OPERATION = {"patent_search": "patent_details"}
 PARAMETER = {("venue_papers", "size"): "limit"}
@@ -41,7 +42,7 @@ def parser() -> argparse.ArgumentParser:
         if option in FLAGS:
             p.add_argument(f"--{option}", action="store_true", default=None)
         else:
-            p.add_argument(f"--{option}", type=int if option in NUMBERS else str)
+            p.add_argument(f"--{option}", type=int if option in NUMBERS else str, default=DEFAULTS.get(option))
     p.add_argument("--api", help="operation, for raw")
     p.add_argument("--params", default="{}", help="its parameters as JSON, for raw")
     return p
@@ -82,7 +83,16 @@ def main(argv: list[str] | None = None) -> int:
     except ValueError as e:
         p.error(str(e))
     spark = SparkSession.builder.getOrCreate()
-    show(Engine(Tables(spark, args.root)).run(name, **params))
+    outcome = Engine(Tables(spark, args.root)).attempt(name, **params)
+    if outcome.status == FAILED:
+        print(json.dumps({"section": "status", "row": {"status": FAILED, "error": outcome.error}}, ensure_ascii=False), file=sys.stderr)
+        return 1
+    if isinstance(outcome.result, Result):
+        for query, status in outcome.result.status.items():
+            print(json.dumps({"section": "status", "row": {"query": query, "status": status, "chain": outcome.result.chain[query]}}, ensure_ascii=False), file=sys.stderr)
+    else:
+        print(json.dumps({"section": "status", "row": {"status": outcome.status, "chain": [name]}}, ensure_ascii=False), file=sys.stderr)
+    show(outcome.result)
     return 0
 
 

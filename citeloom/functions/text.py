@@ -70,12 +70,17 @@ def object_or_list(payload: Column, element: str) -> Column:
     return F.try_element_at(F.from_json(payload, f"array<{element}>"), F.lit(1))
 
 
+def stripped(value: Column) -> Column:
+    return F.regexp_replace(value, r"^\s+|\s+$", "")
+
+
 def id_list(value: Column) -> Column:
-    """Ids of an argument's text: a JSON list as it is, a JSON string as one id, other text as one id, blank as NULL."""
-    text = F.trim(value)
+    """Ids of an argument's text: a JSON list as it is, a JSON string, stripped, as one id, other text as one id, blank as NULL. A blank JSON string is other text."""
+    text = stripped(value)
     parsed = F.try_parse_json(text)
     kind = F.schema_of_variant(parsed)
-    single = F.when(kind == "STRING", F.array(F.try_variant_get(parsed, "$", "string")))
+    inner = stripped(F.try_variant_get(parsed, "$", "string"))
+    single = F.when((kind == "STRING") & (inner != ""), F.array(inner))
     several = F.when(F.startswith(kind, F.lit("ARRAY")), F.try_variant_get(parsed, "$", "array<string>"))
     return F.when(text != "", F.coalesce(single, several, F.array(text)))
 
@@ -95,7 +100,7 @@ def parse_ids(value: Any) -> list[str] | None:
         return [text]
     if isinstance(parsed, list):
         return parsed
-    return [parsed] if isinstance(parsed, str) else [text]
+    return [parsed.strip()] if isinstance(parsed, str) and parsed.strip() else [text]
 
 
 def groups_of(value: str | Sequence[Sequence[str]] | None) -> list[list[str]]:

@@ -25,6 +25,12 @@ def _either(df: DataFrame, text: str, *columns: str) -> Column:
     return any_of(contains(F.col(c), text) for c in columns if c in df.columns)
 
 
+def anywhere(df: DataFrame, text: str) -> Column:
+    """Text in a title, a keyword or an abstract."""
+    lists = [F.exists(c, lambda k: contains(k, text)) for c in ("keywords", "keywords_zh") if c in df.columns]
+    return any_of([_either(df, text, "title", "title_zh", "abstract", "abstract_zh"), *(F.coalesce(x, F.lit(False)) for x in lists)])
+
+
 def _author(text: str) -> Column:
     return F.exists("authors", lambda a: contains(a["name"], text))
 
@@ -120,7 +126,7 @@ def paper_qa_search(
         conditions.append(topic(text, groups_of(topic_high)))
         score = MIDDLE * topic_hits(text, groups_of(topic_middle)) + LOW * topic_hits(text, groups_of(topic_low))
     if title and not use_topic:
-        conditions.append(has_any(F.col("title"), title))
+        conditions.append(any_of(has_any(F.col(c), title) for c in ("title", "title_zh") if c in papers.columns))
     if doi:
         conditions.append(F.col("doi") == doi)
     if year:
@@ -145,23 +151,29 @@ def paper_qa_search(
 
 
 def person_search(scholars: DataFrame, name: str | None = None, org: str | None = None, org_id: Sequence | None = None, offset: int = 0, size: int = 5) -> DataFrame:
-    """Scholar candidates, exact names first; one page of at most ten."""
-    conditions = [contains(F.col(c), x) for c, x in (("name", name), ("org", org)) if x]
+    """Scholar candidates by a name or place in either language, exact names first; a page of at most ten from an offset on."""
+    conditions = [_either(scholars, x, *columns) for columns, x in ((("name", "name_zh"), name), (("org", "org_zh"), org)) if x]
     if org_id:
         conditions.append(F.col("org_id").isin(list(org_id)))
     order = [(F.lower("name") == F.lit((name or "").lower())).desc(), *by("n_citation", "person_id")]
-    return window_of(scholars.where(all_of(conditions)), order, 0, min(size, 10))
+    return window_of(scholars.where(all_of(conditions)), order, offset, min(size, 10))
 
 
 def org_search(orgs: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Institutions that any of the name texts fits, each once."""
-    return orgs.where(any_of(_either(orgs, n, "name", "name_en", "name_zh") for n in names)).dropDuplicates(["org_id"])
-
-
-def venue_search(venues: DataFrame, name: str) -> DataFrame:
-    """Venues by name or alias, nearest name first."""
-    alias = F.exists("alias", lambda a: contains(a, name)) if "alias" in venues.columns else F.lit(False)
-    return venues.where(_either(venues, name, "name", "name_en", "name_zh") | alias).withColumn("distance", F.levenshtein(F.lower("name"), F.lit(name.lower())))
+    """Institutions that any of the name texts fits, in a name, an alias or an acronym, each once."""
+    lists = [c for c in ("aliases", "acronyms") if c in orgs.columns]
+    listed = lambda n: any_of(F.coalesce(F.exists(c, lambda x: contains(x, n)), F.lit(False)) for c in lists)
+    return orgs.where(any_of(_either(orgs, n, "name", "name_en", "name_zh") | listed(n) for n in names)).dropDuplicates(["org_id"])
+
+
+def venue_search(venues: DataFrame, name: str, errors: int = 0) -> DataFrame:
+    """Venues by name or alias, or with a name at most `errors` letters from the text; `distance` is that of the name."""
+    alias = F.coalesce(F.exists("alias", lambda a: contains(a, name)), F.lit(False)) if "alias" in venues.columns else F.lit(False)
+    fits = _either(venues, name, "name", "name_en", "name_zh") | alias
+    if errors:
+        near = lambda c: F.coalesce(F.levenshtein(F.lower(c), F.lit(name.lower()), errors) >= 0, F.lit(False))
+        fits = fits | any_of(near(c) for c in ("name", "name_en") if c in venues.columns)
+    return venues.where(fits).withColumn("distance", F.levenshtein(F.lower("name"), F.lit(name.lower())))
 
 
 def patent_search(patents: DataFrame, query: str, page_no: int = 0, size: int = 10) -> DataFrame:

@@ -113,14 +113,14 @@ def f05_paper_detail(s):
 _EDGES = "SELECT l_orderkey AS paper_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) - 1 AS pos, CAST(l_partkey AS VARCHAR) AS cited_id FROM lineitem"
 
 
-@query(f"SELECT paper_id, CAST(pos AS BIGINT) AS pos, cited_id FROM ({_EDGES}) WHERE paper_id BETWEEN 10 AND 400")
+@query(f"SELECT paper_id, CAST(pos AS BIGINT) AS pos, cited_id FROM ({_EDGES})")
 def f06_paper_relation(s):
-    return long(relation.cited(s.citations().where("paper_id BETWEEN 10 AND 400")).select("paper_id", "pos", "cited_id"), "pos")
+    return long(relation.cited(s.citations()).select("paper_id", "pos", "cited_id"), "pos")
 
 
-@query(f"SELECT paper_id, CAST(pos AS BIGINT) AS pos, cited_id FROM ({_EDGES})")
-def f06_paper_relation_whole(s):
-    return long(relation.cited(s.citations()).select("paper_id", "pos", "cited_id"), "pos")
+@query("SELECT o_orderkey AS paper_id, o_totalprice AS n_citation FROM orders WHERE o_orderstatus = 'P' ORDER BY o_orderkey LIMIT 10")
+def f08_keyword_list(s):
+    return search.paper_list_by_keywords(s.keyword_papers(), ["PARTIAL", "part"]).select("paper_id", "n_citation")
 
 
 @query("SELECT doc_id AS paper_id, source AS venue_name, lang, n_chars AS n_citation FROM documents WHERE contains(lower(source), 'src3') ORDER BY n_chars DESC, doc_id LIMIT 10")
@@ -152,6 +152,11 @@ def f10_person_search(s):
     return _scholar(search.person_search(s.scholars(), name="customer#0000000", org="nation", org_id=[3, 4, 5], size=50))
 
 
+@query(f"{_SCHOLARS} WHERE contains(lower(c_name), 'customer#0000000') ORDER BY c_acctbal DESC, c_custkey LIMIT 5 OFFSET 7")
+def f10_from_an_offset(s):
+    return _scholar(search.person_search(s.scholars(), name="customer#0000000", offset=7))
+
+
 @query("SELECT c_custkey AS person_id, c_name AS name, n_name AS org, c_acctbal AS n_citation, c_mktsegment AS domain FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey = 3")
 def f11_person_detail(s):
     return lookup.by_key(s.scholars(), "person_id", 3, ["person_id", "name", "org", "n_citation", "domain"])
@@ -236,6 +241,11 @@ def f23_venue_search(s):
     return long(search.venue_search(s.venues(), "Supplier#00000000"), "distance").select("venue_id", "name", "distance")
 
 
+@query("SELECT s_suppkey AS venue_id, s_name AS name, CAST(levenshtein(lower(s_name), 'suplier#000000012') AS BIGINT) AS distance FROM supplier WHERE levenshtein(lower(s_name), 'suplier#000000012') <= 2")
+def f23_misspelt_venue(s):
+    return long(search.venue_search(s.venues(), "Suplier#000000012", errors=2), "distance").select("venue_id", "name", "distance")
+
+
 @query("SELECT s_suppkey AS venue_id, s_name AS name, n_name AS org, s_acctbal AS n_citation FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey = 1")
 def f24_venue_detail(s):
     orgs = s.orgs().select("org_id", F.col("name").alias("org"))
@@ -325,8 +335,7 @@ def _deep(hits: str, order: str, label: str) -> str:
 
 def _dive(s: StandIn, papers: DataFrame, **params) -> DataFrame:
     parts = s.patents().select(F.col("patent_id").alias("cited_paper_id"), F.col("title").alias("cited_title"), "price")
-    edges = relation.cited(s.citations()).select("paper_id", "pos", "cited_id")
-    r = workflows.paper_deep_dive(papers, edges, parts.withColumn("cited_paper_id", F.col("cited_paper_id").cast("string")), "cited_paper_id", **params)
+    r = workflows.paper_deep_dive(papers, s.edges, parts.withColumn("cited_paper_id", F.col("cited_paper_id").cast("string")), "cited_paper_id", **params)
     info = r.sections["cited_papers_info"]
     r.sections["cited_papers_info"] = paging.ranked(info.withColumn("number", F.col("cited_paper_id").cast("bigint")), ["query"], [F.asc("number")], 20)
     paper = ("paper_id", "title", "n_citation")
@@ -343,6 +352,12 @@ def w2_deep_dive_by_author(s):
     return _dive(s, s.authored_papers(), title="high", author="#00000000")
 
 
+@query(_deep("orders WHERE o_orderstatus = 'P'", "o_totalprice DESC, o_orderkey", "partial"))
+def w2_fallback(s):
+    """No title holds the text, but keywords do; the most cited comes first."""
+    return _dive(s, s.keyword_papers(), title="partial")
+
+
 _W3 = ["Nation 3", "nation_1"]
 
 
@@ -370,6 +385,23 @@ def w3_org_analysis(s):
     return r.long({"org": ("org_id", "route", None), "detail": ("org_id", "name", None), "scholars": ("person_id", "name", None), "scholars_total": _TOTAL, "papers": _PAPER, "papers_total": _TOTAL, "patents": _PATENT, "patents_total": _TOTAL})
 
 
+@query(
+    f"""WITH found AS (SELECT q.query, n_regionkey AS org_id FROM (VALUES ('Nation 3', 'NATION_3'), ('NATION-7', 'NATION_7')) q(query, name) JOIN nation ON n_name = q.name
+      UNION ALL SELECT 'asi', r_regionkey FROM region WHERE r_name = 'ASIA'),
+    people AS (SELECT query, c_custkey AS person_id FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN found ON n_regionkey = org_id)
+    {_rows("org", "found", "1", "org_id", "CASE WHEN query = 'asi' THEN 'org_disambiguate_pro -> org_search' ELSE 'org_disambiguate_pro' END")}
+    UNION ALL {_rows("detail", "found JOIN region ON r_regionkey = org_id", "1", "org_id", "r_name")}
+    UNION ALL {_rows("scholars_total", "people GROUP BY query", metric="count(*)")}"""
+)
+def w3_primary_first(s):
+    """Regions are the institutions: the primary id wins over the secondary, and a region's own name is found by search."""
+    regions = s.raw("region").select(F.col("r_regionkey").alias("org_id"), F.col("r_name").alias("name"))
+    scholars = s.scholars().drop("org_id").withColumnRenamed("region_id", "org_id")
+    r = workflows.org_analysis(regions, s.aliases(), scholars, s.scholar_paper(), s.org_patent(), ["Nation 3", "NATION-7", "asi"])
+    r.sections = {k: r[k] for k in ("org", "detail", "scholars_total")}
+    return r.long({"org": ("org_id", "route", None), "detail": ("org_id", "name", None), "scholars_total": _TOTAL})
+
+
 _W4 = ["supplier#000000001", "#00000000"]
 
 
@@ -431,33 +463,15 @@ def d02_top_n(s):
     return long(paging.ranked(s.scholar_paper(), ["person_id"], paging.by("n_citation", "paper_id"), 3), "ordinal").select("person_id", "paper_id", "ordinal")
 
 
-@query("SELECT event_id, coalesce(nullif(CASE WHEN event_type = 'click' THEN '' ELSE event_type END, ''), nullif(props, '')) AS id FROM events WHERE user_id = 5")
+@query("SELECT event_id, coalesce(nullif(CASE WHEN event_type = 'click' THEN '' ELSE event_type END, ''), nullif(props, '')) AS id FROM events")
 def d03_first_given(s):
-    return _first_given(s.raw("events").where("user_id = 5"))
-
-
-def _first_given(events: DataFrame) -> DataFrame:
     blank = F.when(F.col("event_type") == "click", "").otherwise(F.col("event_type"))
-    return events.select("event_id", text.first_given(blank, F.col("props")).alias("id"))
-
-
-@query("SELECT event_id, coalesce(nullif(CASE WHEN event_type = 'click' THEN '' ELSE event_type END, ''), nullif(props, '')) AS id FROM events")
-def d03_first_given_whole(s):
-    return _first_given(s.raw("events"))
-
-
-@query("SELECT to_json({'id': c_custkey, 'name': c_name, 'org': n_name}) AS selected FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey < 20")
-def d04_projection(s):
-    return _projection(s.scholars().where("person_id < 20"))
-
-
-def _projection(chosen: DataFrame) -> DataFrame:
-    return chosen.select(F.to_json(F.struct(F.col("person_id").alias("id"), "name", "org")).alias("selected"))
+    return s.raw("events").select("event_id", text.first_given(blank, F.col("props")).alias("id"))
 
 
 @query("SELECT to_json({'id': c_custkey, 'name': c_name, 'org': n_name}) AS selected FROM customer JOIN nation ON c_nationkey = n_nationkey")
-def d04_projection_whole(s):
-    return _projection(s.scholars())
+def d04_projection(s):
+    return s.scholars().select(F.to_json(F.struct(F.col("person_id").alias("id"), "name", "org")).alias("selected"))
 
 
 @query("SELECT l_orderkey AS paper_id, l_partkey AS item FROM lineitem")
@@ -508,56 +522,47 @@ def d10_fallback(s):
     return resolve.with_fallback(first, second, ["patent_id"], ("patent_info", "patent_search"))
 
 
-@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE user_id = 5")
-def d15_object_or_list(s):
-    return _object_or_list(s.raw("events").where("user_id = 5"))
+_REST = "org_detail > org_person_relation > org_paper_relation > org_patent_relation"
 
 
-def _object_or_list(events: DataFrame) -> DataFrame:
-    odd = F.col("event_id") % 2 == 1
-    payload = F.when(odd, F.concat(F.lit("["), F.col("props"), F.lit(', {"k": -1}]'))).otherwise(F.col("props"))
-    return events.select("event_id", text.object_or_list(payload, "struct<k:bigint>")["k"].alias("k"))
+@query(
+    f"""WITH q(query, norm) AS (VALUES ('Nation 3', 'nation 3'), ('tion_24', 'tion 24'), ('nowhere', 'nowhere')),
+    pro AS (SELECT query FROM q JOIN nation ON lower(replace(n_name, '_', ' ')) = norm),
+    hit AS (SELECT DISTINCT query FROM q JOIN nation ON contains(lower(n_name), lower(query)) WHERE query NOT IN (SELECT query FROM pro))
+    SELECT query, CASE WHEN query IN (SELECT query FROM pro) OR query IN (SELECT query FROM hit) THEN 'ok' ELSE 'not_found' END AS status,
+    CASE WHEN query IN (SELECT query FROM pro) THEN 'org_disambiguate_pro > {_REST}' WHEN query IN (SELECT query FROM hit) THEN 'org_disambiguate_pro > org_search > {_REST}' ELSE 'org_disambiguate_pro > org_search' END AS chain
+    FROM q"""
+)
+def d14_status_and_chain(s):
+    """What became of each name, and the operators that were used for it."""
+    r = workflows.org_analysis(s.orgs(), s.aliases(), s.scholars(), s.scholar_paper(), s.org_patent(), ["Nation 3", "tion_24", "nowhere"])
+    return r.outcomes(s.spark).withColumn("chain", F.array_join("chain", " > "))
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
-def d15_object_or_list_whole(s):
-    return _object_or_list(s.raw("events"))
-
-
-@query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'a|b' WHEN 1 THEN 'x' ELSE '7' END AS ids FROM events WHERE user_id = 5")
-def h3_parse_ids(s):
-    return _parse_ids(s.raw("events").where("user_id = 5"))
-
-
-def _parse_ids(events: DataFrame) -> DataFrame:
-    value = F.element_at(F.array(F.lit('["a", "b"]'), F.lit('"x"'), F.lit(" 7 ")), (F.col("event_id") % 3 + 1).cast("int"))
-    return events.select("event_id", F.array_join(text.id_list(value), "|").alias("ids"))
-
-
-@query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'a|b' WHEN 1 THEN 'x' ELSE '7' END AS ids FROM events")
-def h3_parse_ids_whole(s):
-    return _parse_ids(s.raw("events"))
+def d15_object_or_list(s):
+    odd = F.col("event_id") % 2 == 1
+    payload = F.when(odd, F.concat(F.lit("["), F.col("props"), F.lit(', {"k": -1}]'))).otherwise(F.col("props"))
+    return s.raw("events").select("event_id", text.object_or_list(payload, "struct<k:bigint>")["k"].alias("k"))
 
 
 @query(
-    """SELECT o_orderkey AS paper_id, 'https://example.org/pub/' || o_orderkey AS paper_url, 'https://example.org/profile/' || o_custkey AS scholar_url,
-    'https://example.org/patent/' || CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END AS patent_url, 'https://venues.test/' || o_orderkey AS venue_url FROM orders WHERE o_orderkey < 500"""
+    """SELECT event_id, CASE event_id % 9 WHEN 0 THEN 'a|b' WHEN 1 THEN 'x' WHEN 2 THEN '7' WHEN 3 THEN '""' WHEN 4 THEN 'x y' WHEN 5 THEN '"  "' WHEN 6 THEN '{"a": 1}' WHEN 7 THEN 'a b' END AS ids
+    FROM events"""
 )
-def l1_links(s):
-    return _links(s.papers().where("paper_id < 500"))
-
-
-def _links(papers: DataFrame) -> DataFrame:
-    even = F.when(F.col("paper_id") % 2 == 0, F.col("paper_id"))
-    return papers.select("paper_id", text.link("paper", F.col("paper_id")).alias("paper_url"), text.link("scholar", F.col("person_id")).alias("scholar_url"), text.link("patent", even).alias("patent_url"), text.link("venue", F.col("paper_id"), "https://venues.test/").alias("venue_url"))
+def h3_parse_ids(s):
+    given = ['["a", "b"]', '"x"', " 7 ", '""', '" x y\\t"', '"  "', '{"a": 1}', "\ta b\n", " \n "]
+    value = F.element_at(F.array(*[F.lit(x) for x in given]), (F.col("event_id") % len(given) + 1).cast("int"))
+    return s.raw("events").select("event_id", F.array_join(text.id_list(value), "|").alias("ids"))
 
 
 @query(
     """SELECT o_orderkey AS paper_id, 'https://example.org/pub/' || o_orderkey AS paper_url, 'https://example.org/profile/' || o_custkey AS scholar_url,
     'https://example.org/patent/' || CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END AS patent_url, 'https://venues.test/' || o_orderkey AS venue_url FROM orders"""
 )
-def l1_links_whole(s):
-    return _links(s.papers())
+def l1_links(s):
+    even = F.when(F.col("paper_id") % 2 == 0, F.col("paper_id"))
+    return s.papers().select("paper_id", text.link("paper", F.col("paper_id")).alias("paper_url"), text.link("scholar", F.col("person_id")).alias("scholar_url"), text.link("patent", even).alias("patent_url"), text.link("venue", F.col("paper_id"), "https://venues.test/").alias("venue_url"))
 
 
 @query("SELECT * FROM (VALUES " + ", ".join(f"('{op}', CAST({p} AS DOUBLE))" for op, p in costs.PRICES.items()) + ") t(op, unit_price)")

@@ -1,4 +1,4 @@
-"""Operators by price: a router that prefers cheap access paths."""
+"""Prices of the operators and of chains of them."""
 
 from __future__ import annotations
 

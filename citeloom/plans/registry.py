@@ -8,14 +8,17 @@ from __future__ import annotations
 
 import inspect
 from collections.abc import Callable
+from dataclasses import dataclass
 from typing import Any
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.functions.text import parse_ids
 from citeloom.operators import lookup, relation, resolve, search
 from citeloom.plans import workflows
+from citeloom.sources.rest import RestError
 from citeloom.sources.tables import Tables
 
 PAPER_BASIC = ("paper_id", "title", "title_zh", "authors", "year", "venue_id", "venue_name", "issue", "volume")
@@ -101,7 +104,7 @@ class Engine:
 
     # venues and patents
     def venue_search(self, name: str) -> DataFrame:
-        return search.venue_search(self.t["venue"], name).orderBy("distance", "venue_id")
+        return search.venue_search(self.t["venue"], name, errors=len(name) // 5).orderBy("distance", "venue_id")
 
     def venue_detail(self, venue_id) -> DataFrame:
         return lookup.by_key(self.t["venue"], "venue_id", venue_id)
@@ -153,10 +156,31 @@ class Engine:
         inspect.signature(fn).bind(**given)
         return fn(**given)
 
+    def attempt(self, name: str, /, **params) -> Outcome:
+        """`run` with a status: `ok`, `not_found` for a result without rows, `failed` where tables or services can't be read.
+
+        Wrong names and parameters are errors of the caller and are raised.
+        """
+        try:
+            result = self.run(name, **params)
+            found = workflows.OK in result.status.values() if isinstance(result, workflows.Result) else not result.isEmpty()
+        except (PySparkException, RestError) as e:
+            return Outcome(workflows.FAILED, error=str(e))
+        return Outcome(workflows.OK if found else workflows.NOT_FOUND, result)
+
+
+@dataclass
+class Outcome:
+    """What `Engine.attempt` came to: status, the result unless it failed, and the reason if it did."""
+
+    status: str
+    result: Any = None
+    error: str | None = None
+
 
 def _list(names: str | list[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
 #: What `run` may call.
-OPERATIONS = frozenset(k for k, v in vars(Engine).items() if callable(v) and not k.startswith("_") and k != "run")
+OPERATIONS = frozenset(k for k, v in vars(Engine).items() if callable(v) and not k.startswith("_") and k not in ("run", "attempt"))

@@ -11,6 +11,9 @@ taken by the schema's names and other fields are left.
 
 from __future__ import annotations
 
+import datetime
+import decimal
+import http.client
 import json
 import random
 import time
@@ -20,10 +23,10 @@ import urllib.request
 from collections.abc import Callable, Iterator
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import ArrayType, DataType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, DateType, DecimalType, FractionalType, IntegralType, StringType, StructType, TimestampNTZType, TimestampType
 
+# fixed values: time limit and tries of a request, and statuses that may pass
 TIMEOUT_SECONDS, TRIES = 30, 3
-#: Statuses that may pass.
 PASSING = frozenset((408, 429, 500, 502, 503, 504))
 
 
@@ -56,6 +59,8 @@ def fetch(url: str, headers: dict[str, str] | None = None, body: bytes | None =
                 raise RestError(f"no answer: {e}", again=True) from e
         except ValueError as e:
             raise RestError(f"no JSON: {e}") from e
+        except (OSError, http.client.HTTPException) as e:
+            raise RestError(f"answer broke off: {e}") from e
         wait(2**n + random.uniform(0, 0.3))
     raise RestError("no tries")
 
@@ -69,13 +74,34 @@ def records(answer) -> list[dict]:
 
 
 def shaped(value, kind: DataType):
-    """A JSON value under a Spark type; structs become tuples."""
+    """A JSON value under a Spark type; structs become tuples, what does not fit the type is None."""
     if value is None:
         return None
     if isinstance(kind, StructType):
         return tuple(shaped(value.get(f.name), f.dataType) for f in kind.fields) if isinstance(value, dict) else None
     if isinstance(kind, ArrayType):
         return [shaped(x, kind.elementType) for x in (value if isinstance(value, list) else [value])]
+    try:
+        return _plain(value, kind)
+    except (ValueError, TypeError, ArithmeticError):
+        return None
+
+
+def _plain(value, kind: DataType):
+    """A JSON value as one of a plain type; what does not fit is an error."""
+    if isinstance(kind, StringType):
+        return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    if isinstance(kind, BooleanType):
+        return value if isinstance(value, bool) else {"true": True, "false": False}.get(str(value).lower())
+    if isinstance(kind, IntegralType):
+        number = decimal.Decimal(str(value))
+        return int(number) if number == int(number) else None
+    if isinstance(kind, FractionalType):
+        return decimal.Decimal(str(value)) if isinstance(kind, DecimalType) else float(value)
+    if isinstance(kind, DateType):
+        return datetime.date.fromisoformat(value)
+    if isinstance(kind, TimestampType | TimestampNTZType):
+        return datetime.datetime.fromisoformat(value)
     return value
 
 

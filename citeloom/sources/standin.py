@@ -7,7 +7,7 @@ the parts of an order, by line number and part.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -30,6 +30,12 @@ class StandIn:
         o = self.raw("orders")
         return o.select(F.col("o_orderkey").alias("paper_id"), F.col("o_orderpriority").alias("title"), F.year("o_orderdate").alias("year"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.col("o_totalprice").alias("n_citation"), F.col("o_custkey").alias("person_id"))
 
+    def keyword_papers(self) -> DataFrame:
+        """Papers with the word of their status as the only keyword."""
+        word = F.element_at(F.create_map(*[F.lit(x) for x in ("O", "open", "F", "filled", "P", "partial")]), F.col("o_orderstatus"))
+        status = self.raw("orders").select(F.col("o_orderkey").alias("paper_id"), F.array(word).alias("keywords"))
+        return self.papers().join(status, "paper_id")
+
     def authored_papers(self) -> DataFrame:
         s = self.scholars()
         author = F.struct(F.col("person_id").alias("author_id"), F.col("name"), F.col("org"), F.col("org_id"))
@@ -80,6 +86,13 @@ class StandIn:
         p = self.raw("part")
         return p.select(F.col("p_partkey").alias("patent_id"), F.col("p_name").alias("title"), F.col("p_brand").alias("assignee"), F.col("p_type").alias("pub_kind"), F.col("p_size").alias("sequence"), F.col("p_retailprice").alias("price"))
 
+    def edges(self, papers: DataFrame) -> DataFrame:
+        """Flat citations of some papers, whose lines alone are numbered."""
+        lines = self.raw("lineitem").select(F.col("l_orderkey").alias("paper_id"), "l_linenumber", F.col("l_partkey").alias("id"))
+        mine = lines.join(F.broadcast(papers.select("paper_id").distinct()), "paper_id", "left_semi")
+        order = Window.partitionBy("paper_id").orderBy("l_linenumber", "id")
+        return mine.select("paper_id", (F.row_number().over(order) - 1).alias("pos"), F.col("id").cast("string").alias("cited_id"))
+
     def citations(self) -> DataFrame:
         """Ordered parts of each order as a nested list."""
         line = F.struct(F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("id"))

@@ -35,11 +35,18 @@ def test_plans_push_filters_and_prune_columns(spark, middle):
 
 
 def test_citations_of_all_papers_are_given(spark, middle):
-    edges = catalogue.QUERIES["f06_paper_relation_whole"](spark, middle)
+    edges = catalogue.QUERIES["f06_paper_relation"](spark, middle)
     assert edges.count() == spark.read.parquet(f"{middle}/lineitem.parquet").count()
     assert edges.where("paper_id NOT BETWEEN 10 AND 400").count() > 0
 
 
 @pytest.mark.parametrize(("name", "source"), [("l1_links", "orders"), ("d04_projection", "customer"), ("d03_first_given", "events"), ("d15_object_or_list", "events"), ("h3_parse_ids", "events")])
 def test_whole_tables_are_projected(spark, middle, name, source):
-    assert catalogue.QUERIES[f"{name}_whole"](spark, middle).count() == spark.read.parquet(f"{middle}/{source}.parquet").count()
+    assert catalogue.QUERIES[name](spark, middle).count() == spark.read.parquet(f"{middle}/{source}.parquet").count()
+
+
+def test_what_resolution_selects_reaches_the_scans(spark, middle):
+    """Each scan of a section has the selected keys as a pushed condition."""
+    plan = catalogue.QUERIES["w2_paper_deep_dive"](spark, middle)._jdf.queryExecution().executedPlan().toString()
+    lines = [x for x in plan.splitlines() if "FileScan" in x and "lineitem" in x]
+    assert lines and all("l_orderkey" in x.split("PushedFilters")[1] for x in lines)

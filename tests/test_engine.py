@@ -111,10 +111,31 @@ def test_dispatch_refuses_what_is_not_listed(tables):
         e.run("paper_detail", wrong=1)
 
 
+def test_status_tells_not_found_from_failed(tables, spark, tmp_path):
+    e = Engine(tables)
+    assert e.attempt("scholar_profile", name="Ann Lee").status == "ok"
+    nobody = e.attempt("scholar_profile", name=["nobody", "Ann Lee"])
+    assert nobody.status == "ok" and nobody.result.status == {"nobody": "not_found", "Ann Lee": "ok"}
+    assert nobody.result.chain["nobody"] == ["person_search"] and len(nobody.result.chain["Ann Lee"]) == 6
+    assert e.attempt("scholar_profile", name="nobody").status == e.attempt("paper_detail", paper_id="p9").status == "not_found"
+    assert e.attempt("org_analysis", org="nowhere").result.chain == {"nowhere": ["org_disambiguate_pro", "org_search"]}
+    got = Engine(Tables(spark, str(tmp_path / "absent"))).attempt("paper_detail", paper_id="p1")
+    assert got.status == "failed" and got.result is None and "absent" in got.error
+    with pytest.raises(KeyError):
+        e.attempt("attempt")
+    rows = {r.query: (r.status, r.chain) for r in nobody.result.outcomes(spark).collect()}
+    assert rows["nobody"] == ("not_found", ["person_search"])
+
+
 def test_command_line(tables, tmp_path, capsys, spark):
     write_tables(tables, str(tmp_path))
     assert cli.main(["--root", str(tmp_path), "--action", "raw", "--api", "paper_info", "--params", '{"ids": ["p1"]}']) == 0
     assert json.loads(capsys.readouterr().out)["row"]["paper_id"] == "p1"
+    assert cli.call(cli.parser().parse_args(["--root", "x", "--action", "venue_papers", "--venue", "v"]))[1] == {"venue": "v", "limit": 10}
+    assert cli.main(["--root", str(tmp_path / "absent"), "--action", "org_analysis", "--org", "x"]) == 1
+    assert '"failed"' in capsys.readouterr().err
+    assert cli.main(["--root", str(tmp_path), "--action", "org_analysis", "--org", "nowhere"]) == 0
+    assert '"not_found"' in capsys.readouterr().err
     assert cli.main(["--root", str(tmp_path), "--action", "venue_papers", "--venue", "journal", "--size", "1"]) == 0
     assert sum('"papers"' in x for x in capsys.readouterr().out.splitlines()) == 1
     for bad in (["--action", "paper_deep_dive"], ["--action", "scholar_profile"], ["--action", "paper_qa", "--query", "x", "--sort_year", "--sort_citation"], ["--action", "raw"]):
@@ -151,6 +172,34 @@ def test_rest_fetch_tries_again():
         rest.fetch("http://x", opener=lambda *a, **k: Answer(b"not json"), wait=waits.append)
 
 
+def test_rest_answers_that_break_off():
+    import http.client
+
+    class Broken(io.BytesIO):
+        def __init__(self, error):
+            super().__init__()
+            self.error = error
+
+        def read(self, *args):
+            raise self.error
+
+    for error in (ConnectionResetError("gone"), http.client.IncompleteRead(b"{")):
+        with pytest.raises(rest.RestError) as e:
+            rest.fetch("http://x", opener=lambda *a, error=error, **k: Broken(error), wait=lambda s: None)
+        assert not e.value.again and "broke off" in str(e.value)
+
+
+def test_rest_values_follow_the_schema(spark):
+    import datetime
+    import decimal
+
+    from pyspark.sql.types import _parse_datatype_string
+
+    kind = _parse_datatype_string("a string, b string, c bigint, d bigint, e double, f boolean, g date, h decimal(9,2), i array<string>, j int")
+    value = {"a": 7, "b": {"x": "é"}, "c": "12", "d": 1.5, "e": 3, "f": "True", "g": "2020-01-02", "h": 1.25, "i": "one", "j": "no"}
+    assert rest.shaped(value, kind) == ("7", '{"x": "é"}', 12, None, 3.0, True, datetime.date(2020, 1, 2), decimal.Decimal("1.25"), ["one"], None)
+
+
 def test_rest_parts():
     assert rest.address("u", {"a": None, "b": ["x"], "c": 1}) == "u?b=%5B%22x%22%5D&c=1"
     assert rest.records([{"a": 1}, 3]) == [{"a": 1}] and rest.records({"data": None}) == []

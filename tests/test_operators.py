@@ -84,6 +84,20 @@ def test_person_search_caps_and_exact_names(spark):
     assert len(found) == 10 and found[:2] == ["z", "s14"]
     assert len(ids(search.person_search(people, name="wei"), "person_id")) == 5
     assert ids(search.person_search(people, org_id=["o1"], size=2), "person_id") == ["s13", "s11"]
+    assert ids(search.person_search(people, org_id=["o1"], size=2, offset=1), "person_id") == ["s11", "s09"]
+    both = spark.createDataFrame([("a", "Wei Wang", "王伟", "Uni", "大学", 1), ("b", "Bo", None, None, None, 2)], "person_id string, name string, name_zh string, org string, org_zh string, n_citation int")
+    assert ids(search.person_search(both, name="王"), "person_id") == ids(search.person_search(both, org="大学"), "person_id") == ["a"]
+
+
+def test_other_names_and_misspelt_ones(spark):
+    orgs = spark.createDataFrame([("o1", "Uni X", ["The X"], ["UX"]), ("o2", "Lab", None, None)], "org_id string, name string, aliases array<string>, acronyms array<string>")
+    for text_ in ("uni", "the x", "ux"):
+        assert ids(search.org_search(orgs, [text_]), "org_id") == ["o1"]
+    venues = spark.createDataFrame([("v1", "Nature", ["Nat."]), ("v2", "Science", None)], "venue_id string, name string, alias array<string>")
+    assert ids(search.venue_search(venues, "Sceince"), "venue_id") == [] and ids(search.venue_search(venues, "Sceince", errors=2), "venue_id") == ["v2"]
+    assert ids(search.venue_search(venues, "nat.", errors=1), "venue_id") == ["v1"]
+    papers = spark.createDataFrame([("p1", "Deep", "深度", 1), ("p2", "Flat", None, 2)], "paper_id string, title string, title_zh string, n_citation int")
+    assert ids(search.paper_qa_search(papers, title=["深"])) == ["p1"]
 
 
 def test_lookups(papers, spark):
@@ -145,7 +159,7 @@ def test_disambiguation(spark):
 def test_values(spark):
     df = spark.createDataFrame([('{"k": 1}',), ('[{"k": 2}, {"k": 3}]',), ("[]",), (None,), ("{bad",)], "v string")
     assert [r[0] for r in df.select(text.object_or_list(F.col("v"), "struct<k:int>")["k"]).collect()] == [1, 2, None, None, None]
-    cases = {"abc": ["abc"], '"abc"': ["abc"], '["a","b"]': ["a", "b"], "123": ["123"], "{}": ["{}"], "  ": None, "": None}
+    cases = {"abc": ["abc"], '"abc"': ["abc"], '["a","b"]': ["a", "b"], "123": ["123"], "{}": ["{}"], '""': ['""'], '" x "': ["x"], '"  "': ['"  "'], "\ty\n": ["y"], "  ": None, "": None}
     lists = spark.createDataFrame([(k,) for k in cases], "v string").select("v", text.id_list(F.col("v")).alias("ids")).collect()
     assert {r.v: r.ids for r in lists} == cases
     for k, v in cases.items():
@@ -169,11 +183,22 @@ def test_tables_json_and_parquet(spark, tmp_path):
 def test_deep_dive_takes_the_fallback(spark, papers):
     edges = spark.createDataFrame([("p2", i, f"c{i}" if i != 3 else None) for i in range(25)], "paper_id string, pos int, cited_id string")
     cited = spark.createDataFrame([(f"c{i}",) for i in range(30)], "cited_paper_id string")
+    full = ["paper_detail", "paper_relation", "paper_info"]
     r = workflows.paper_deep_dive(papers, edges, cited, "cited_paper_id", keyword="odd")
     assert r["selected"].first().paper_id == "p2" and r["references_count"].first().total == 25
     assert r["references_preview"].count() == 10 and r["cited_papers_info"].count() == 19
+    assert r.status == {"odd": "ok"} and r.chain == {"odd": ["paper_search_pro", *full]}
+    r = workflows.paper_deep_dive(papers, edges, cited, "cited_paper_id", title="deep")
+    assert r["selected"].first().route == "paper_search" and r.chain == {"deep": ["paper_search", *full[:2]]}  # p1 cites nothing
+    more = papers.where("paper_id <> 'p4'").unionByName(papers.where("paper_id = 'p4'").withColumn("keywords", F.array(F.lit("Graphs"), F.lit("odd"))))
+    more = more.withColumn("keywords", F.when(F.col("paper_id") == "p2", F.array(F.lit("graphs"))).otherwise(F.col("keywords")))
+    r = workflows.paper_deep_dive(more, edges, cited, "cited_paper_id", title="graph")
+    assert ids(r["search_candidates"].orderBy("ordinal")) == ["p4", "p2"]  # only their keywords fit; the more cited first
+    assert r["selected"].first().route == "paper_search -> paper_search_pro"
+    assert r.chain == {"graph": ["paper_search", "paper_search_pro", *full[:2]]}
     none = workflows.paper_deep_dive(papers, edges, cited, "cited_paper_id", title="absent")
     assert none["selected"].count() == none["references_count"].count() == 0
+    assert none.status == {"absent": "not_found"} and none.chain == {"absent": ["paper_search", "paper_search_pro"]}
     with pytest.raises(ValueError):
         workflows.paper_deep_dive(papers, edges, cited, "cited_paper_id")
 
