@@ -29,12 +29,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:
-    """Use the cluster's checkpoint folder; set one only where none is configured."""
+    """Use the cluster's checkpoint folder. Without one, a local master gets a folder of its own and a cluster is refused."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(folder or f"/tmp/checkpoints/{uuid.uuid4().hex}")
+    if not folder:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = f"{tempfile.gettempdir()}/checkpoints/{uuid.uuid4().hex}"
+    sc.setCheckpointDir(folder)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -72,6 +76,22 @@ def maybe_broadcast(df: DataFrame, rows: int, bound: int = BROADCAST_ROWS) -> Da
     return F.broadcast(df) if rows <= bound else df
 
 
+def column(name: str) -> Column:
+    """A column by its plain name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names for columns of one's own that `df` has not: the given ones, with underscores before them as needed."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate `value` once and bind it in `body`."""
     return F.element_at(F.transform(F.array(value), body), 1)
