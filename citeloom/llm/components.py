@@ -10,7 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, maybe_broadcast
+from .common import BROADCAST_ROWS, cut
+
+
+#: Parts to which the edges of a node are dealt where a join shuffles them.
+SALTS = 16
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -19,11 +23,19 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def _pointed(edges: DataFrame, least: DataFrame) -> DataFrame:
-    return edges.join(maybe_broadcast(least, least.count()), "a")
+    """Edges with the least of their first node. A hub has as many edges as its bucket has nodes, so a join that shuffles is salted."""
+    if least.count() <= BROADCAST_ROWS:
+        return edges.join(F.broadcast(least), "a")
+    dealt = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int")).join(dealt, ["a", "salt"]).drop("salt")
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """(node, root) of all nodes of undirected edges (a, b): root is the least node of the component."""
+    """(node, root) of all nodes of undirected edges (a, b): root is the least node of the component.
+
+    Rounds grow with the logarithm of the nodes, so 50 is far more than any
+    corpus needs; without convergence within them it is an error, never a result.
+    """
     edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = _state(edges)
     for _ in range(rounds):
@@ -37,5 +49,7 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         if after == before:
             break
         before = after
+    else:
+        raise RuntimeError(f"components did not converge in {rounds} rounds")
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

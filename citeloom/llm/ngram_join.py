@@ -13,10 +13,11 @@ all its words; a null text or one without words has none and no links.
    one, which is as many rows as the bucket has, whatever its size, and the
    components of these pointers are the candidate groups.
 4. Candidate groups are verified on full shingle sets: all pairs of a group are
-   counted by matrix products over shared shingles, in blocks of at most
-   `BLOCK` nodes; larger groups are split and every pair of blocks is a task of
-   its own. Tasks give each node's number of links and its local root, never
-   pairs, so nothing grows with the square of a group but the arithmetic.
+   counted by matrix products over shared shingles, tile by tile. A group of up to
+   `BLOCK` shingles (ten thousand documents of 300 words) is one task, and each of
+   its sets moves once; a larger one is dealt to blocks of that size and every pair
+   of blocks is a task, so a set moves as often as the group has blocks. Tasks give
+   each node's number of links and its local root, never pairs.
 5. Roots of block pairs are joined into classes.
 
 Rows without an id take no part: class null, no links. Rows that share an id
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .common import cut, map_arrow, maybe_broadcast, ship, table
+from .common import column, cut, map_arrow, maybe_broadcast, ship, table, unused
 from .components import components
 
 WORDS = 5
@@ -45,9 +46,10 @@ WORDS = 5
 OVER, UNDER = 4, 5
 TARGET_RECALL, MAX_HASHES = 0.9999, 192
 SEED = 20_231
-BLOCK = 256
-#: Shared shingles to a matrix product.
-COLUMNS = 4096
+#: Shingles of a group to a task, 24 MB of them: a larger group is dealt to blocks of that size. And of the small groups together.
+BLOCK, BIN = 3_000_000, 1_500_000
+#: Nodes and shared shingles to a matrix product.
+TILE, COLUMNS = 1024, 4096
 
 _SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -107,19 +109,20 @@ def band_hashes(found: np.ndarray, chunk: int = 2048) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """rid, doc_id, key, bands of each row with an id; key is null without words, bands empty where a set of one shingle has no other neighbours than copies."""
+    """rid, doc_id, key, size, bands of each row with an id; key is null without words, bands empty where a set of one shingle has no other neighbours than copies."""
     kind = dict(docs.dtypes)[id_col]
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        keys, bands = [], []
+        keys, sizes, bands = [], [], []
         for text in b.column(1).to_pylist():
             found = shingles(text)
             keys.append(set_key(found) if len(found) else None)
+            sizes.append(len(found))
             bands.append(band_hashes(found) if len(found) > 1 else [])
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "key", "bands"])
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "key", "size", "bands"])
 
-    rows = docs.where(F.col(id_col).isNotNull()).select(id_col, text_col)
-    return map_arrow(rows, batch, f"doc_id {kind}, key binary, bands array<bigint>").withColumn("rid", F.monotonically_increasing_id())
+    rows = docs.where(column(id_col).isNotNull()).select(column(id_col), column(text_col))
+    return map_arrow(rows, batch, f"doc_id {kind}, key binary, size bigint, bands array<bigint>").withColumn("rid", F.monotonically_increasing_id())
 
 
 def _verify_group(rows: pa.Table) -> pa.Table:
@@ -137,58 +140,107 @@ def _verify_group(rows: pa.Table) -> pa.Table:
     return pa.table(dict(zip(("node", "root", "texts", "docs"), (pa.array(c, pa.int64()) for c in columns), strict=True)))
 
 
-def similar(sets: list[np.ndarray]) -> np.ndarray:
-    """Boolean matrix of the pairs of sets at or over the threshold."""
-    n = len(sets)
-    sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    owner, flat = np.repeat(np.arange(n), sizes), np.concatenate(sets)
-    _, code, count = np.unique(flat, return_inverse=True, return_counts=True)
-    shared = count[code] > 1
-    owner, code = owner[shared], code[shared]
-    _, code = np.unique(code, return_inverse=True)
-    both = np.zeros((n, n), dtype=np.float64)
-    order = np.argsort(code, kind="stable")
-    owner, code = owner[order], code[order]
-    total = int(code[-1]) + 1 if len(code) else 0
-    for at in range(0, total, COLUMNS):
-        i, j = np.searchsorted(code, [at, at + COLUMNS])
-        x = np.zeros((n, min(COLUMNS, total - at)), dtype=np.float32)
-        x[owner[i:j], code[i:j] - at] = 1
-        both += x @ x.T
-    both = np.rint(both).astype(np.int64)
-    union = sizes[:, None] + sizes[None, :] - both
-    return both * UNDER >= OVER * union
+class Shared:
+    """Sets over codes of the shingles that more than one of them has, for counting what pairs share."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        owner, flat = np.repeat(np.arange(len(sets)), self.sizes), np.concatenate(sets)
+        _, code, count = np.unique(flat, return_inverse=True, return_counts=True)
+        shared = count > 1
+        self.total = int(shared.sum())
+        place = np.cumsum(shared) - 1
+        keep = shared[code]
+        self.code, owner = place[code[keep]], owner[keep]
+        self.ends = np.searchsorted(owner, np.arange(len(sets) + 1))
+        self.owner = owner
+
+    def dense(self, first: int, last: int, at: int) -> np.ndarray:
+        """Sets first to last as rows over `COLUMNS` codes from `at` on."""
+        i, j = self.ends[first], self.ends[last]
+        code, row = self.code[i:j] - at, self.owner[i:j] - first
+        mine = (code >= 0) & (code < COLUMNS)
+        out = np.zeros((last - first, min(COLUMNS, self.total - at)), dtype=np.float32)
+        out[row[mine], code[mine]] = 1
+        return out
+
+    def similar(self, a: tuple[int, int], b: tuple[int, int]) -> np.ndarray:
+        """Boolean matrix of the pairs of two ranges of sets at or over the threshold."""
+        both = np.zeros((a[1] - a[0], b[1] - b[0]), dtype=np.float64)
+        for at in range(0, self.total, COLUMNS):
+            x = self.dense(*a, at)
+            both += x @ (x if a == b else self.dense(*b, at)).T
+        both = np.rint(both).astype(np.int64)
+        union = self.sizes[a[0] : a[1], None] + self.sizes[None, b[0] : b[1]] - both
+        return both * UNDER >= OVER * union
+
+
+class _Joined:
+    """Least root of joined numbers."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def root(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = self.up[self.up[i]]
+            i = self.up[i]
+        return i
+
+    def join(self, i: int, j: int) -> None:
+        i, j = self.root(i), self.root(j)
+        if i != j:
+            self.up[max(i, j)] = min(i, j)
+
+
+def _least(link: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least number that each row and column of a link matrix reaches."""
+    none = np.iinfo(np.int64).max
+    while True:
+        new_rows = np.minimum(rows, np.where(link, columns[None, :], none).min(1))
+        new_columns = np.minimum(columns, np.where(link, new_rows[:, None], none).min(0))
+        if (new_rows == rows).all() and (new_columns == columns).all():
+            return rows, columns
+        rows, columns = new_rows, new_columns
 
 
 def _links(node: np.ndarray, copies: np.ndarray, side: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int, int, int]]:
-    link = similar(sets)
-    np.fill_diagonal(link, False)
-    if side.any():
-        link &= side[:, None] != side[None, :]
-    texts, docs = link.sum(1), link @ copies
-    root = np.full(len(node), -1, dtype=np.int64)
-    for i in np.argsort(node, kind="stable"):
-        if root[i] >= 0 or not texts[i]:
-            continue
-        front = np.zeros(len(node), dtype=bool)
-        front[i] = True
-        seen = front.copy()
-        while front.any():
-            front = link[front].any(0) & ~seen
-            seen |= front
-        root[seen] = node[i]
-    return [(int(node[i]), int(root[i]), int(texts[i]), int(docs[i])) for i in np.flatnonzero(texts)]
+    order = np.argsort(node, kind="stable")
+    node, copies, side, sets = node[order], copies[order], side[order], [sets[i] for i in order]
+    n, split = len(node), side.any()
+    shared, joined = Shared(sets), _Joined(n)
+    texts, docs = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    ranges = [(i, min(n, i + TILE)) for i in range(0, n, TILE)]
+    for p, a in enumerate(ranges):
+        for b in ranges[p:]:
+            link = shared.similar(a, b)
+            if a == b:
+                np.fill_diagonal(link, False)
+            if split:
+                link &= side[a[0] : a[1], None] != side[None, b[0] : b[1]]
+            if not link.any():
+                continue
+            texts[a[0] : a[1]] += link.sum(1)
+            docs[a[0] : a[1]] += link @ copies[b[0] : b[1]]
+            if a != b:
+                texts[b[0] : b[1]] += link.sum(0)
+                docs[b[0] : b[1]] += copies[a[0] : a[1]] @ link
+            for first, least in zip((a[0], b[0]), _least(link, np.arange(*a), np.arange(*b)), strict=True):
+                for i, k in enumerate(least.tolist()):
+                    joined.join(first + i, k)
+    return [(int(node[i]), int(node[joined.root(i)]), int(texts[i]), int(docs[i])) for i in np.flatnonzero(texts).tolist()]
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
     """(node, root, texts, docs) of the linked nodes, and whether roots of several blocks are to be joined."""
-    sizes = cut(groups.groupBy("root").count())
-    stats = sizes.agg(F.sum("count").alias("n"), F.max("count").alias("most")).first()
-    total, most = stats["n"] or 0, stats["most"] or 0
-    blocks = F.ceil(F.col("count") / BLOCK).cast("int")
-    wanted = groups.join(maybe_broadcast(sizes, sizes.count()), "root").join(nodes.select("node", F.col("doc_id").alias("__id"), "key", "copies"), "node")
-    wanted = cut(wanted.select("node", "root", "__id", "key", "copies", blocks.alias("blocks")))
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
+    grouped = groups.join(nodes.select("node", F.col("doc_id").alias("__id"), "key", "copies", "size"), "node")
+    sizes = cut(grouped.groupBy("root").agg(F.sum("size").alias("weight")))
+    stats = sizes.agg(F.count("*").alias("n"), F.sum("weight").alias("total"), F.max("weight").alias("most")).first()
+    weight, most = stats["total"] or 0, stats["most"] or 0
+    blocks = F.ceil(F.col("weight") / BLOCK).cast("int")
+    wanted = cut(grouped.join(maybe_broadcast(sizes, stats["n"]), "root").select("node", "root", "__id", "key", "copies", blocks.alias("blocks")))
+    total = wanted.count()
+    texts = docs.select(column(id_col).alias("__id"), column(text_col).alias("text"))
     texts = texts.join(maybe_broadcast(wanted, total), "__id").select("text", "key", "node", "root", "copies", "blocks")
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -199,7 +251,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, groups: DataFrame, id_col: str,
 
     sets = map_arrow(texts, batch, "node bigint, root bigint, copies bigint, blocks int, shingles array<bigint>").where("shingles IS NOT NULL")
     sets = sets.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    bins = max(1, total // BLOCK)
+    bins = max(1, weight // BIN)
     whole = sets.where("blocks = 1").select(F.pmod(F.xxhash64("root"), F.lit(bins)).alias("task"), F.col("root").alias("grp"), F.lit(0).alias("side"), "node", "copies", "shingles")
     if most > BLOCK:
         split = sets.where("blocks > 1").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
@@ -224,8 +276,8 @@ def _linked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     twins = cut(sig.where("key IS NOT NULL").groupBy("key").agg(F.min("rid").alias("node"), F.count("*").alias("copies"), F.min("doc_id").alias("copy_id")).where("copies > 1"))
     twins_hint = maybe_broadcast(twins, twins.count())
     own = lambda c, other: F.coalesce(F.col(c), other).alias(c)
-    known = sig.join(twins_hint, "key", "left").select("rid", "doc_id", "key", "bands", own("node", F.col("rid")), own("copies", F.lit(1).cast("bigint")), own("copy_id", F.col("doc_id")))
-    members = cut(known.select("rid", "doc_id", "key", "node", "copies", "copy_id"))
+    known = sig.join(twins_hint, "key", "left").select("rid", "doc_id", "key", "size", "bands", own("node", F.col("rid")), own("copies", F.lit(1).cast("bigint")), own("copy_id", F.col("doc_id")))
+    members = cut(known.select("rid", "doc_id", "key", "size", "node", "copies", "copy_id"))
     nodes = members.where("rid = node AND key IS NOT NULL")
     buckets = known.where("rid = node").select("node", F.explode("bands").alias("bucket"))
     hubs = cut(buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("bucket", "hub"))
@@ -262,7 +314,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     out = _linked(docs, id_col, text_col).drop("rid", "key", "class")
     none, zero = F.lit(None).cast(dict(docs.dtypes)[id_col]), F.lit(0).cast("bigint")
-    nameless = docs.where(F.col(id_col).isNull()).select(none.alias("doc_id"), none.alias("copy_id"), none.alias("class_id"), zero.alias("n_links"), zero.alias("n_text_links"))
+    nameless = docs.where(column(id_col).isNull()).select(none.alias("doc_id"), none.alias("copy_id"), none.alias("class_id"), zero.alias("n_links"), zero.alias("n_text_links"))
     return out.unionByName(nameless)
 
 
@@ -274,28 +326,32 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     rows = cut(_linked(docs, id_col, text_col).select("rid", "doc_id", "key", "class"))
     best = cut(rows.groupBy("class").agg(F.min(F.struct("doc_id", "rid")).alias("best"), F.count("*").alias("n")).where("n > 1").select("class", F.col("best.rid").alias("stays")))
-    gone = cut(rows.join(maybe_broadcast(best, best.count()), "class").where("rid <> stays").select("rid", F.col("doc_id").alias("__gone")))
-    vague = cut(rows.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__vague")))
+    gone_id, vague_id, key, stay_id, stay_key = unused(docs, "gone_id", "vague_id", "set_key", "stay_id", "stay_key")
+    gone = cut(rows.join(maybe_broadcast(best, best.count()), "class").where("rid <> stays").select("rid", F.col("doc_id").alias(gone_id)))
+    vague = cut(rows.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(vague_id)))
     n_gone, n_vague = gone.count(), vague.count()
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    ids = maybe_broadcast(gone.select("__gone"), n_gone)
+    names, own = [column(c) for c in docs.columns], column(id_col)
+    ids = maybe_broadcast(gone.select(gone_id), n_gone)
     if not n_vague:
-        return docs.join(ids, F.col(id_col) == F.col("__gone"), "left_anti").select(*names)
+        return docs.join(ids, own == F.col(gone_id), "left_anti").select(*names)
     shared = maybe_broadcast(vague, n_vague)
-    plain = docs.join(shared, F.col(id_col) == F.col("__vague"), "left_anti").join(ids, F.col(id_col) == F.col("__gone"), "left_anti").select(*names)
-    again = docs.join(shared, F.col(id_col) == F.col("__vague"), "left_semi")
+    plain = docs.join(shared, own == F.col(vague_id), "left_anti").join(ids, own == F.col(gone_id), "left_anti").select(*names)
+    again = docs.join(shared, own == F.col(vague_id), "left_semi")
+    at = docs.columns.index(text_col)
 
     def keyed(b: pa.RecordBatch) -> pa.RecordBatch:
-        found = [shingles(t) for t in b.column(docs_text).to_pylist()]
+        found = [shingles(t) for t in b.column(at).to_pylist()]
         keys = pa.array([set_key(f) if len(f) else None for f in found], pa.binary())
-        return pa.RecordBatch.from_arrays([*b.columns, keys], [*b.schema.names, "__key"])
-
-    docs_text = docs.columns.index(text_col)
-    again = map_arrow(again, keyed, StructType([*again.schema.fields, StructField("__key", BinaryType())]))
-    stay = rows.where("key IS NOT NULL").join(shared, F.col("doc_id") == F.col("__vague"), "left_semi").join(gone.select("rid"), "rid", "left_anti")
-    stay = cut(stay.select(F.col("doc_id").alias("__id"), F.col("key").alias("__stay")))
-    one = again.join(maybe_broadcast(stay, stay.count()), (F.col(id_col) == F.col("__id")) & (F.col("__key") == F.col("__stay")), "left_semi").dropDuplicates([id_col, "__key"])
-    return plain.unionByName(again.where("__key IS NULL").unionByName(one).select(*names))
+        return pa.RecordBatch.from_arrays([*b.columns, keys], [*b.schema.names, "key"])
+
+    # Arrow operators take columns by name and some names not, so they go under numbers meanwhile
+    numbered = [StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(again.schema.fields)]
+    plainly = again.toDF(*[f.name for f in numbered])
+    again = map_arrow(plainly, keyed, StructType([*numbered, StructField("key", BinaryType())])).toDF(*docs.columns, key)
+    stay = rows.where("key IS NOT NULL").join(shared, F.col("doc_id") == F.col(vague_id), "left_semi").join(gone.select("rid"), "rid", "left_anti")
+    stay = cut(stay.select(F.col("doc_id").alias(stay_id), F.col("key").alias(stay_key)))
+    one = again.join(maybe_broadcast(stay, stay.count()), (own == F.col(stay_id)) & (F.col(key) == F.col(stay_key)), "left_semi").dropDuplicates([id_col, key])
+    return plain.unionByName(again.where(F.col(key).isNull()).unionByName(one).select(*names))
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

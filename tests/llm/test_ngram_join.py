@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pytest
 
 from citeloom.llm import components as c
 from citeloom.llm import ngram_join as n
@@ -49,7 +50,7 @@ def test_query_equals_brute_force(spark, middle, monkeypatch):
     rows = duckdb.sql(f"SELECT doc_id, text FROM '{middle}/documents.parquet'").fetchall()
     want = brute(rows)
     assert answers(n.op3_ngram_jaccard_join(spark, middle)) == want
-    monkeypatch.setattr(n, "BLOCK", 8)  # groups over several blocks
+    monkeypatch.setattr(n, "BLOCK", 2000)  # groups over several blocks
     assert answers(n.op3_ngram_jaccard_join(spark, middle)) == want
 
 
@@ -67,7 +68,7 @@ def test_chains_ties_and_a_large_group(spark, monkeypatch):
     rows += [(100, " ".join(base)), (101, " ".join([*base[:-1], "other"])), (102, " ".join([*base, "more"]))]  # 8 of 10 shingles, 9 of 10
     rows += [(200 + i, " ".join([f"c{k}" if k != i * 7 else "z" for k in range(200)])) for i in range(25)]
     rows += [(300 + i, rows[-1][1].upper()) for i in range(5)]
-    monkeypatch.setattr(n, "BLOCK", 10)
+    monkeypatch.setattr(n, "BLOCK", 600)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert answers(n.link_documents(docs)) == brute(rows)
 
@@ -100,17 +101,47 @@ def test_one_of_each_class_stays_where_ids_repeat(spark):
     assert sorted((x for x in got if x not in ours), key=str) == sorted([(5, lone), (7, other), (9, "a b c"), (9, None), (9, ""), (None, lone)], key=str)
 
 
-def test_similar_matrix():
+def test_similar_matrix(monkeypatch):
     rng = np.random.default_rng(4)
-    sets = [np.unique(rng.integers(0, 30, rng.integers(1, 25))) for _ in range(60)]
-    got = n.similar([s.astype(np.int64) for s in sets])
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets):
-            k = len(np.intersect1d(a, b))
-            assert got[i, j] == (5 * k >= 4 * (len(a) + len(b) - k))
-
-
-def test_components(spark):
+    sets = [np.unique(rng.integers(0, 30, rng.integers(1, 25))).astype(np.int64) for _ in range(60)]
+    monkeypatch.setattr(n, "COLUMNS", 7)
+    shared = n.Shared(sets)
+    for a, b in (((0, 60), (0, 60)), ((0, 20), (20, 60)), ((13, 14), (50, 55))):
+        got = shared.similar(a, b)
+        for i, j in itertools.product(range(*a), range(*b)):
+            k = len(np.intersect1d(sets[i], sets[j]))
+            assert got[i - a[0], j - b[0]] == (5 * k >= 4 * (len(sets[i]) + len(sets[j]) - k))
+
+
+def test_links_over_tiles_equal_all_pairs(monkeypatch):
+    rng = np.random.default_rng(6)
+    base = [rng.integers(0, 10**9, 40) for _ in range(4)]
+    sets = [np.unique(np.where(rng.random(40) < rng.choice([0.02, 0.1, 0.3]), rng.integers(0, 10**9, 40), base[i % 4])).astype(np.int64) for i in range(90)]
+    node, copies, side = rng.permutation(90).astype(np.int64) + 1000, rng.integers(1, 5, 90), rng.integers(1, 3, 90)
+    for sides in (np.zeros(90, dtype=np.int64), side):
+        link = n.Shared(sets).similar((0, 90), (0, 90))
+        np.fill_diagonal(link, False)
+        if sides.any():
+            link &= sides[:, None] != sides[None, :]
+        reach = link | np.eye(90, dtype=bool)
+        for _ in range(7):
+            reach = reach @ reach
+        want = {int(node[i]): (int(node[reach[i]].min()), int(link[i].sum()), int(copies[link[i]].sum())) for i in range(90) if link[i].any()}
+        for tile in (1, 7, 1024):
+            monkeypatch.setattr(n, "TILE", tile)
+            assert {x: tuple(rest) for x, *rest in n._links(node, copies, sides, sets)} == want
+
+
+def test_a_large_group_moves_each_set_once(spark):
+    """A group of 2500 different near copies is one task, and right."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*words, f"x{i}"])) for i in range(2500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert set(answers(n.link_documents(docs)).values()) == {(0, 2499)}
+    assert 2500 * 57 < n.BLOCK
+
+
+def test_components(spark, monkeypatch):
     rng = np.random.default_rng(5)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(i, i + 1) for i in range(1000, 1100)] + [(5000, i) for i in range(5001, 5200)]
     parent = {x: x for e in edges for x in e}
@@ -124,4 +155,10 @@ def test_components(spark):
         ra, rb = root(a), root(b)
         parent[max(ra, rb)] = min(ra, rb)
     got = {r.node: r.root for r in c.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {x: root(x) for a, b in edges if a != b for x in (a, b)}
+    want = {x: root(x) for a, b in edges if a != b for x in (a, b)}
+    assert got == want
+    with pytest.raises(RuntimeError):
+        c.components(spark.createDataFrame(edges, "a long, b long"), rounds=1)
+    monkeypatch.setattr(c, "BROADCAST_ROWS", 0)  # the salted join
+    again = {r.node: r.root for r in c.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert again == want
