@@ -10,20 +10,23 @@ Structural kinds are proposed by looser patterns and reported only when their
 content parses:
 
 - pem: a PEM block whose base64 body decodes to DER with consistent nested
-  lengths (or to an OpenSSH key, or is marked as encrypted); under the label
-  ENCRYPTED to an algorithm and an octet string, in a PRIVATE KEY BLOCK to
-  OpenPGP packets of which the first is a secret key,
+  lengths, or to an OpenSSH key, or, after the header lines of an encrypted body,
+  to whole cipher blocks; under the label ENCRYPTED to an algorithm and an octet
+  string, in a PRIVATE KEY BLOCK to OpenPGP packets of which the first is a
+  secret key,
 - key: base64 or hex outside such a block that decodes to such a key, in one run
   or in lines of one width of which the last may be shorter,
 - jwt: a signed token, three base64url parts of which the first decodes to a
   JSON object with `alg`, the second to a JSON object,
-- basic: `Basic` or `user:password@` credentials whose base64 decodes to
-  printable text with a colon, or that stand in a URL.
+- basic: `Basic` credentials whose base64 decodes to printable text with a colon,
+  or `user:password@` of a URL with a well-formed host and port behind it and
+  nothing but whole escapes before it.
 
 Offsets are code points, the end exclusive. A null text counts as empty; an
 empty table gives an empty result; repeated rows and null ids are reported row
 by row, other columns are ignored. Whole texts are scanned, one at a time, by
-patterns whose work grows with the length of the text.
+patterns whose work grows with the length of the text: no run, frame or body is
+entered twice.
 """
 
 from __future__ import annotations
@@ -50,11 +53,17 @@ _NAME = "|".join([_any_case(w) for w in NAMES[:4]] + [_any_case("api") + "_?" +
 ASSIGN = re.compile(rf"""(?:{_NAME})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}?)PRIVATE KEY( BLOCK|)-----([A-Za-z0-9+/=\s:,.()-]*?)-----END \1PRIVATE KEY\2-----")
+FRAME = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}?)PRIVATE KEY( BLOCK|)-----")
+BODY = re.compile(r"[A-Za-z0-9+/=\s:,.()-]*")
+#: Header lines of an encrypted body: the note, the cipher and its initial vector.
+LOCKED = re.compile(r"\s*Proc-Type: *4, *ENCRYPTED\s+DEK-Info: *[A-Z0-9-]+, *([0-9A-Fa-f]{16,64})\s+")
 BARE = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}={0,2}")
 LINE = re.compile(r"\r?\n[\t\x20]*([A-Za-z0-9+/]+={0,2})(?![A-Za-z0-9+/=])")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-BASIC = re.compile(r"[Bb]asic\x20+([A-Za-z0-9+/]{8,}={0,2})|[a-z][a-z0-9+.-]{1,15}://[^\s/:@?#]{1,256}:([^\s/:@?#]{3,256})@")
+BASIC = re.compile(r"[Bb]asic\x20+([A-Za-z0-9+/]{8,}={0,2})|[a-z][a-z0-9+.-]{1,15}://([^\s/:@?#]{1,256}):([^\s/:@?#]{3,256})@")
+#: What may follow the `@` of credentials: a name of labels, an address or a bracketed one, a port, and the end or a path.
+HOST = re.compile(r"(?:(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})\.)*[A-Za-z0-9][A-Za-z0-9-]{0,62}|\[[0-9A-Fa-f:.]{2,45}\])(?::([0-9]{1,5}))?(?=[/?#\s\"'<>),;]|\.?$|\.\s)")
+ESCAPE = re.compile(r"%(?![0-9A-Fa-f]{2})")
 HEX_KEY = re.compile(r"(?:[0-9A-Fa-f]{2})+")
 
 #: Nesting that a key needs at most.
@@ -179,8 +188,9 @@ def is_pem(body: str, label: str = "", block: bool = False) -> bool:
         lines = [x.strip() for x in body.split("\n")]
         data = decode64("".join(x for x in lines if ":" not in x and not x.startswith("=")))
         return data is not None and is_openpgp_key(data)
-    if "ENCRYPTED" in body:
-        return True
+    if locked := LOCKED.match(body):
+        data = decode64(re.sub(r"\s+", "", body[locked.end() :]))
+        return data is not None and len(data) >= 16 and len(data) % 8 == 0
     data = decode64(re.sub(r"\s+", "", body))
     return is_key(data) or "ENCRYPTED" in label and data is not None and is_encrypted_key(data)
 
@@ -211,12 +221,29 @@ def _is_key_text(run: str) -> bool:
 
 
 def is_basic(m: re.Match) -> bool:
-    if m[2] is not None:
-        return True
+    """Base64 of printable text with a colon, or a user and password, rightly escaped, before a host."""
+    if m[1] is None:
+        host = HOST.match(m.string, m.end())
+        return host is not None and int(host[1] or 0) <= 65535 and not ESCAPE.search(m[2]) and not ESCAPE.search(m[3])
     raw = decode64(m[1])
     return raw is not None and b":" in raw and all(32 <= c < 127 for c in raw)
 
 
+def pem_blocks(text: str) -> list[tuple[int, int, int]]:
+    """Spans of confirmed blocks: each END line is paired with the last BEGIN line before it, of the same label, so every body is read once."""
+    out, begin = [], None
+    for m in FRAME.finditer(text):
+        if m[1] == "BEGIN":
+            begin = m
+            continue
+        if begin is not None and (begin[2], begin[3]) == (m[2], m[3]):
+            body = text[begin.end() : m.start()]
+            if BODY.fullmatch(body) and is_pem(body, m[2], bool(m[3])):
+                out.append((begin.start(), 3, m.end()))
+        begin = None
+    return out
+
+
 def scan(text: str | None) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the secrets of a text, in order."""
     if not text:
@@ -227,11 +254,13 @@ def scan(text: str | None) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    blocks = [(m.start(), 3, m.end()) for m in PEM.finditer(text) if is_pem(m[3], m[1], bool(m[2]))] if "PRIVATE KEY" in text else []
+    blocks = pem_blocks(text) if "PRIVATE KEY" in text else []
     out += blocks
-    done = 0
+    done, at = 0, 0
     for m in BARE.finditer(text):
-        if m.start() < done or any(a <= m.start() < b for a, _, b in blocks):
+        while at < len(blocks) and blocks[at][2] <= m.start():
+            at += 1
+        if m.start() < done or at < len(blocks) and blocks[at][0] <= m.start():
             continue
         if end := m.end() if _is_key_text(m[0]) else wrapped_key(text, m):
             out.append((m.start(), 4, end))
@@ -280,5 +309,38 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_arrow(found, batch, f"doc_id {kind}, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string")
 
 
-QUERIES = {"op4_secret_scan": op4_secret_scan}
-ORACLES: dict[str, str] = {}
+def secret_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base kinds alone, which SQL can express; the structural ones can't be."""
+    return op4_secret_scan(spark, sf_dir).drop("spans")
+
+
+def _oracle() -> str:
+    patterns = {
+        "assign": r"""(?:(?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""",
+        "access": r"(AKIA[A-Z0-9]+)",
+        "hex": r"([0-9a-f]+)",
+    }
+    least = {"assign": 12, "access": 18, "hex": 16}
+    every = " UNION ALL ".join(
+        f"""
+      SELECT doc_id, {k} AS k, '{kind}' AS kind, start, start + length(hit) AS stop
+      FROM (
+        SELECT doc_id, hits[i] AS hit, parts[i] AS part,
+               list_sum(list_transform(gaps[1 : i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1 : i - 1], lambda x: length(x))), 0) AS start
+        FROM (
+          SELECT doc_id, hits, parts, gaps, unnest(list_filter(range(1, len(hits) + 1), lambda j: length(parts[j]) >= {least[kind]})) AS i
+          FROM (SELECT doc_id, regexp_extract_all(t, '{p}') AS hits, regexp_extract_all(t, '{p}', 1) AS parts, string_split_regex(t, '{p.replace("(AKIA", "(?:AKIA").replace("([", "(?:[")}') AS gaps FROM d)))"""
+        for k, (kind, p) in enumerate(patterns.items())
+    )
+    counts = ", ".join(f"count(*) FILTER (kind = '{kind}') AS n_{kind}" for kind in patterns)
+    return f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    found AS (
+      SELECT doc_id, {counts}, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k) AS base
+      FROM ({every}) GROUP BY doc_id)
+    SELECT d.doc_id, {", ".join(f"coalesce(n_{kind}, 0) AS n_{kind}" for kind in patterns)}, sha256(coalesce(base, '')) AS base_sha256
+    FROM d LEFT JOIN found ON found.doc_id = d.doc_id"""
+
+
+QUERIES = {"op4_secret_scan": op4_secret_scan, "secret_base_spans": secret_base_spans}
+ORACLES = {"secret_base_spans": _oracle()}

@@ -3,6 +3,7 @@ import hashlib
 import json
 import random
 import re
+import time
 
 import duckdb
 
@@ -55,14 +56,37 @@ def test_structure_confirms():
     assert kinds(pem(B64)) == kinds(pem(B64, "")) == ["pem"]
     assert kinds("k " + B64) == ["key"] and kinds("k " + KEY.hex()) == ["hex", "key"]
     assert kinds(pem(B64[:-8])) == kinds("k " + B64[:-8]) == kinds("A" * 200) == []
-    assert kinds(pem("Proc-Type: 4,ENCRYPTED\n" + B64)) == ["pem"]
+    locked = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{}\n\n{}\n-----END RSA PRIVATE KEY-----"
+    assert kinds(locked.format("0F" * 16, base64.b64encode(b"c" * 96).decode())) == ["pem"]
+    assert kinds(locked.format("0F" * 16, base64.b64encode(b"c" * 95).decode())) == kinds(locked.format("xyz", base64.b64encode(b"c" * 96).decode())) == []
+    assert kinds("-----BEGIN PRIVATE KEY-----\nthis is prose, not a key, but it says ENCRYPTED here\n-----END PRIVATE KEY-----") == []
+    assert kinds(pem("Proc-Type: 4,ENCRYPTED\n" + B64)) == []
     ssh = b"openssh-key-v1\0" + b"".join(len(x).to_bytes(4, "big") + x for x in (b"none", b"none", b"")) + b"\0\0\0\1" + b"z" * 40
     assert kinds(pem(base64.b64encode(ssh).decode(), "OPENSSH ")) == ["pem"]
     token = part({"alg": "HS256"}) + "." + part({"sub": 1}) + ".c2ln"
     assert kinds("t " + token) == ["jwt"] and s.scan("t " + token)[0][::2] == (2, 2 + len(token))
     assert kinds(part({"typ": "x"}) + "." + part({"a": 1}) + ".c2ln") == [] == kinds(part({"alg": "x"}) + ".e30x.")
     assert kinds("Basic " + base64.b64encode(b"user:pass").decode()) == ["basic"] and kinds("Basic training") == []
-    assert kinds("postgres://u:secretpw@host/db") == ["basic"]
+    for url in ("postgres://u:secretpw@host/db", "see ftp://a:b%2Fcd@files.example.org:21.", "ws://u:pass@[::1]:80/", "(https://me:pw1@1.2.3.4)"):
+        assert kinds(url) == ["basic"], url
+    for url in ("ws://u:pass@", "ws://u:pa%zz@host/", "ws://u:pass@host:99999/", "ws://u:pass@-host/", "ws://u:pass@ho_st/", "ws://u:pass@a..b/"):
+        assert kinds(url) == [], url
+
+
+def test_frames_are_paired_in_one_pass():
+    good = pem(B64)
+    assert s.scan("-----BEGIN PRIVATE KEY-----\nlost\n" + good)[0][0] == 33  # the last BEGIN before an END
+    assert kinds(good + "\n" + good + pem(B64, "")) == ["pem"] * 3
+    assert kinds(good.replace("END RSA", "END DSA")) == ["key"]  # the body stands for itself
+    began = time.perf_counter()
+    assert s.scan("-----BEGIN PRIVATE KEY-----\n" * 180_000) == []
+    assert s.scan(("-----BEGIN PRIVATE KEY-----\nx\n-----END PRIVATE KEY-----\n") * 80_000) == []
+    assert len(s.scan(good * 2000)) == 2000
+    assert time.perf_counter() - began < 5
+
+
+def test_base_spans_equal_their_sql(same, middle):
+    assert same(s.secret_base_spans, s.ORACLES["secret_base_spans"], middle) == 1000
 
 
 def test_nesting_is_checked():
