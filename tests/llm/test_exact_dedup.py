@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from citeloom.llm import exact_dedup as x
 
 ODD = [(1, "A", 9), (1, "a", 8), (1, "a", 8), (2, None, 1), (None, "", 2), (None, None, 3), (3, "b", 1), (5, "É", 1), (6, "é", 1), (7, "x" * 300 + "1", 1), (8, "X" * 300 + "2", 1), (9, "x" * 300 + "2", 1)]
@@ -34,6 +36,21 @@ def test_keep_distinct(spark):
 def test_without_broadcasts(spark, middle, same, monkeypatch):
     monkeypatch.setattr(x, "BROADCAST_ROWS", 0)
     assert same(x.op6_exact_dedup, x.ORACLE, middle) == 1000
+    monkeypatch.setattr(x, "HOT_ROWS", 2)  # and large groups by themselves
+    assert same(x.op6_exact_dedup, x.ORACLE, middle) == 1000
+    docs = spark.createDataFrame(ODD, SCHEMA)
+    assert sorted(r.doc_id for r in x.keep_distinct(docs).collect()) == [1, 2, 3, 5, 6, 7, 9]
+
+
+def test_a_bitmap_lets_every_listed_group_through(spark, monkeypatch):
+    rows = spark.range(5000).select(F.col("id").alias("a"), (F.col("id") % 7).alias("b"))
+    groups = rows.where("a % 9 = 0")
+    for bits in (1 << 27, 1 << 16):
+        monkeypatch.setattr(x, "BITS", bits)
+        monkeypatch.setattr(x, "BROADCAST_ROWS", 0)
+        got = {r.a: r["__shared"] for r in x._flagged(rows, groups, ["a", "b"]).collect()}
+        assert len(got) == 5000 and all(got[i] for i in range(0, 5000, 9))
+        assert sum(got.values()) - 556 < (10 if bits > 1 << 20 else 400)
 
 
 def test_plan_is_native(spark, middle):
