@@ -13,7 +13,7 @@ the table.
 
 Pieces are numbered within their length (in salted groups, whose offsets are
 running sums, so no task holds all pieces of a length) and find their sequence
-and offset by that number in the plan.
+and offset by that number in the plan. Full pieces are sequences of their own.
 
 A null or empty text is the end id alone. Rows with equal or null ids are
 packed as documents of their own. Empty tables give empty results; other
@@ -26,6 +26,7 @@ import json
 import re
 import zlib
 from bisect import bisect_left
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,8 @@ END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 #: Segments kept from batch to batch in a worker; when more have come, the store starts anew.
 CACHE_SEGMENTS = 1_000_000
-#: Pieces to a numbered group, and groups to a length at most.
-GROUP_PIECES, MAX_GROUPS = 100, 4096
+#: Pieces to a numbered group at least; a length with many pieces is dealt to as many groups as each then holds.
+GROUP_PIECES = 100
 
 #: Segments whose normal form is plain lower-casing: ASCII and Latin letters, no combining marks, no unusual white space.
 _PLAIN = re.compile(r"[\n\t!-~\xa1-įı-ɏ]*")
@@ -285,22 +286,33 @@ def slots(plan) -> dict[str, np.ndarray]:
 
 
 def _numbered(parts: DataFrame, counted: dict[int, int]) -> DataFrame:
-    """Adds `__number`, from 0 within each length. counted: pieces of each length, which says how many groups each is dealt to."""
-    groups = [max(1, min(MAX_GROUPS, -(-counted.get(x, 0) // GROUP_PIECES))) for x in range(max(counted, default=0) + 1)]
+    """Adds `__number`, from 0 within each length. counted: pieces of each length, which says how many groups each is dealt to.
+
+    Groups and their number both grow with the root of a length's pieces, so
+    neither numbering a group nor adding up the groups is ever one large task.
+    They are dealt by row, as ids may repeat.
+    """
+    groups = [-(-counted.get(x, 0) // max(GROUP_PIECES, isqrt(counted.get(x, 0)))) or 1 for x in range(max(counted, default=0) + 1)]
     dealt = F.get(F.lit(groups).cast("array<bigint>"), F.col("length").cast("int"))
-    salted = parts.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "piece"), dealt))
+    salted = parts.withColumn("__row", F.monotonically_increasing_id()).withColumn("__salt", F.pmod(F.xxhash64("__row"), dealt))
     counts = salted.groupBy("length", "__salt").agg(F.count("*").alias("__n"))
     before = Window.partitionBy("length").orderBy("__salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = cut(counts.select("length", "__salt", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")))
-    own = F.row_number().over(Window.partitionBy("length", "__salt").orderBy("doc_id", "piece"))
+    own = F.row_number().over(Window.partitionBy("length", "__salt").orderBy("__row"))
     numbered = salted.withColumn("__own", own).join(maybe_broadcast(starts, starts.count()), ["length", "__salt"])
-    return numbered.withColumn("__number", F.col("__start") + F.col("__own") - 1).drop("__salt", "__own", "__start")
+    return numbered.withColumn("__number", F.col("__start") + F.col("__own") - 1).drop("__salt", "__own", "__start", "__row")
 
 
 def place(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """`parts` (with doc_id, piece, length) and for each its sequence_id and offset. Read three times, so give a materialised frame."""
+    """`parts` (with doc_id, piece, length) and for each its sequence_id and offset. Read several times, so give a materialised frame.
+
+    Full pieces are sequences of their own and need no place in the plan: they
+    are numbered by row, behind the sequences of the plan.
+    """
     counts = {int(r["length"]): int(r["count"]) for r in parts.groupBy("length").count().collect()}
-    where = slots(make_plan(counts, capacity))
+    counts.pop(capacity, None)
+    plan = make_plan(counts, capacity)
+    where, planned = slots(plan), sum(times for _, times in plan)
     spread = np.int64(1) << np.int64(40)
     keys = where["length"] * spread + where["first"]
     names = parts.columns
@@ -315,7 +327,11 @@ def place(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         return pa.RecordBatch.from_arrays([*[b.column(n) for n in names], pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
 
     schema = ", ".join(f"{n} {t}" for n, t in parts.dtypes) + ", sequence_id bigint, offset bigint"
-    return map_arrow(_numbered(parts, counts).select(*names, "__number"), batch, schema, rows=50_000)
+    full = parts.where(F.col("length") == capacity).select(*names, (F.monotonically_increasing_id() + planned).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+    if not counts:
+        return full
+    rest = _numbered(parts.where(F.col("length") < capacity), counts).select(*names, "__number")
+    return map_arrow(rest, batch, schema, rows=50_000).unionByName(full)
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
