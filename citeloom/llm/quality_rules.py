@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, cut, let, table
+from .common import SPACES, column, cut, let, table, unused
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -58,37 +58,38 @@ def _covered(grams: Column) -> Column:
     return let(let(pairs, starts), total)
 
 
-def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """`docs` with a struct column `__q` of the counts that the rules use.
+def features(docs: DataFrame, text_col: str = "text", out: str = "__q") -> DataFrame:
+    """`docs` with a struct column `out` of the counts that the rules use.
 
     Windows are compared by the 64-bit xxhash64 of their words, within one
     document. A document whose window hashes all differ, the usual case, needs
     no more than array_distinct.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    w, l, g = unused(docs, "words", "lines", "windows")  # noqa: E741
+    text = F.coalesce(column(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
-    n = F.size("__w") - (WINDOW - 1)
-    zipped = F.arrays_zip(*[F.slice("__w", i + 1, n).alias(f"w{i}") for i in range(WINDOW)])
+    n = F.size(w) - (WINDOW - 1)
+    zipped = F.arrays_zip(*[F.slice(w, i + 1, n).alias(f"w{i}") for i in range(WINDOW)])
     grams = F.when(n > 0, F.transform(zipped, lambda x: F.xxhash64(x))).otherwise(F.array().cast("array<bigint>"))
     long = lambda c: c.cast("bigint")
     without = lambda pattern: F.length(F.regexp_replace(text, pattern, ""))
     return (
-        docs.withColumns({"__w": F.array_remove(F.split(text, SPACES, -1), ""), "__l": lines})
-        .withColumn("__g", grams)
+        docs.withColumns({w: F.array_remove(F.split(text, SPACES, -1), ""), l: lines})
+        .withColumn(g, grams)
         .withColumn(
-            "__q",
+            out,
             F.struct(
-                long(F.size("__w")).alias("n_words"),
+                long(F.size(w)).alias("n_words"),
                 long(without(SPACES)).alias("word_chars"),
                 long(F.length(text) - without(SYMBOLS)).alias("n_symbols"),
-                long(F.size("__l") - F.size(F.array_distinct("__l"))).alias("n_dup_lines"),
-                long(F.when(F.size(F.array_distinct("__g")) == F.size("__g"), 0).otherwise(_covered(F.col("__g")))).alias("n_repeat_words"),
-                long(F.size("__l")).alias("n_lines"),
+                long(F.size(l) - F.size(F.array_distinct(l))).alias("n_dup_lines"),
+                long(F.when(F.size(F.array_distinct(g)) == F.size(g), 0).otherwise(_covered(F.col(g)))).alias("n_repeat_words"),
+                long(F.size(l)).alias("n_lines"),
                 long(F.length(text) - without(r"\p{Lu}")).alias("n_upper"),
                 long(F.length(text) - F.length(F.replace(text, F.lit("!"), F.lit("")))).alias("n_exclaims"),
             ),
         )
-        .drop("__w", "__l", "__g")
+        .drop(w, l, g)
     )
 
 
@@ -129,14 +130,14 @@ class LabelModel:
 START = ((0.30, 0.004), (0.10, 0.046), (0.60, 0.95))
 #: Expected share of good documents.
 START_PRIOR = 0.85
-#: Weight of these expectations, as a share of the rows: EM moves off them as far as the votes agree on it.
-START_WEIGHT = 0.25
+#: Weight of these expectations, as a share of the rows and in rows at most, so that it vanishes as the corpus grows: EM moves off them as far as the votes agree on it.
+START_WEIGHT, START_ROWS = 0.25, 1000
 
 
 def expectation_maximisation(patterns: dict[tuple[int, ...], float], rounds: int = 60) -> LabelModel:
     """Fit by EM on counted vote patterns, with START as a Dirichlet prior."""
     total = sum(patterns.values())
-    weight = max(1.0, START_WEIGHT * total)
+    weight = max(1.0, min(START_ROWS, START_WEIGHT * total))
     model = LabelModel(START_PRIOR, tuple(START for _ in NAMES))
     for _ in range(rounds):
         good_sum, sums = 0.0, [[[weight * (1 - START_PRIOR) * b, weight * START_PRIOR * g] for b, g in START] for _ in NAMES]
@@ -159,42 +160,68 @@ def expectation_maximisation(patterns: dict[tuple[int, ...], float], rounds: int
     return model
 
 
-def fit(featured: DataFrame) -> LabelModel:
-    """EM over all rows of a frame with `__q`, through counts of vote patterns."""
-    votes = featured.select(*[vote(n).alias(n) for n in NAMES])
+def fit(featured: DataFrame, q: str = "__q") -> LabelModel:
+    """EM over all rows of a frame with counts, through counts of vote patterns."""
+    votes = featured.select(*[vote(n, q).alias(n) for n in NAMES])
     rows = votes.groupBy(*NAMES).count().collect()
     return expectation_maximisation({tuple(int(r[n]) for n in NAMES): float(r["count"]) for r in rows})
 
 
-def verdicts(featured: DataFrame, model: LabelModel) -> DataFrame:
-    """Adds `__p`, the posterior of "good", and `__kept`."""
-    p = model.posterior([vote(n) for n in NAMES])
-    return featured.withColumn("__p", p).withColumn("__kept", ~base_failed() & (F.col("__p") >= KEEP_AT))
+def posterior(model: LabelModel, q: str = "__q") -> Column:
+    return model.posterior([vote(n, q) for n in NAMES])
+
+
+def kept(model: LabelModel, q: str = "__q") -> Column:
+    return ~base_failed(q) & (posterior(model, q) >= KEEP_AT)
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that pass, with their columns. The fit reads all rows in a pass of its own.
+    """The rows of `docs` that pass, with their columns; repeated rows and rows without an id are judged like others.
 
-    The row number beside the counts is a barrier: filters are not pushed into
-    a projection that holds one, so the counts are taken once for each row and
-    not once for each mention in the condition.
+    The counts take most of the time and both the fit and the filter need them,
+    so rows and counts are written once to the shared checkpoint folder.
     """
-    model = fit(_barred(features(docs.select(text_col), text_col)))
-    judged = verdicts(_barred(features(docs, text_col)), model)
-    return judged.where(F.col("__kept") & (F.col("__bar") >= 0)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    (q,) = unused(docs, "quality_counts")
+    counted = cut(features(docs, text_col, q))
+    return counted.where(kept(fit(counted, q), q)).select(*[column(c) for c in docs.columns])
+
 
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
-def _barred(featured: DataFrame) -> DataFrame:
-    return featured.withColumn("__bar", F.monotonically_increasing_id())
+
+def _base() -> list[Column]:
+    return [F.col("doc_id"), *[F.col(f"__q.{c}").alias(c) for c in BASE], base_failed().alias("base_failed")]
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = cut(features(docs).select("doc_id", "__q"))
-    out = verdicts(counted, fit(counted))
-    q = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return out.select("doc_id", *[F.col(f"__q.{c}").alias(c) for c in q], base_failed().alias("base_failed"), F.col("__kept").alias("kept"), F.col("__p").alias("quality"), *[vote(n).alias(f"vote_{n}") for n in NAMES])
-
-
-QUERIES = {"op2_quality_rules": op2_quality_rules}
-ORACLES: dict[str, str] = {}
+    model = fit(counted)
+    return counted.select(*_base(), kept(model).alias("kept"), posterior(model).alias("quality"), *[vote(n).alias(f"vote_{n}") for n in NAMES])
+
+
+def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts alone, which SQL can express; the verdicts can't be."""
+    return features(table(spark, sf_dir, "documents").select("doc_id", "text")).select(*_base())
+
+
+BASE_ORACLE = r"""
+    WITH w AS (
+      SELECT doc_id, coalesce(text, '') AS t,
+             list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+             list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+      FROM documents),
+    g AS (
+      SELECT doc_id, i, array_to_string(ws[i : i + 4], ' ') AS words
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
+    twice AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, words) > 1),
+    covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(5) r(k) GROUP BY doc_id)
+    SELECT w.doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+           length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+           len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+           len(ws) < 10 OR 100 * coalesce(n, 0) > 20 * len(ws) AS base_failed
+    FROM w LEFT JOIN covered USING (doc_id)"""
+
+
+QUERIES = {"op2_quality_rules": op2_quality_rules, "quality_base_counts": quality_base_counts}
+ORACLES = {"quality_base_counts": BASE_ORACLE}

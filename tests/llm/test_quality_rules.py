@@ -3,7 +3,6 @@ import re
 from collections import Counter
 
 import duckdb
-from pyspark.sql import functions as F
 
 from citeloom.llm import quality_rules as q
 
@@ -51,6 +50,17 @@ def test_query(spark, middle):
     assert all(rows[i].kept for i in judged if labels[i])
 
 
+def test_base_counts_equal_their_sql(same, middle):
+    assert same(q.quality_base_counts, q.ORACLES["quality_base_counts"], middle) == 1000
+
+
+def test_expectations_vanish_as_rows_grow():
+    """Rates that contradict what EM starts from win over it, the more so the more rows there are."""
+    often = {tuple([-1] * 7): 3, tuple([0] * 7): 5, tuple([1] * 7): 2}
+    off = [abs(q.expectation_maximisation({k: n * v for k, v in often.items()}).rates[0][1][1] - q.START[1][1]) for n in (10, 1000, 100_000)]
+    assert off[0] < off[1] < off[2]
+
+
 def test_em_finds_rates_without_labels():
     rnd = random.Random(3)
     patterns = Counter()
@@ -74,5 +84,5 @@ def test_keep_good_keeps_columns_and_odd_rows(spark):
 
 
 def test_plan_is_native(spark, middle):
-    plan = q.verdicts(q.features(spark.read.parquet(f"{middle}/documents.parquet")), q.expectation_maximisation({})).select(F.col("__kept"))
+    plan = q.features(spark.read.parquet(f"{middle}/documents.parquet")).select(q.kept(q.expectation_maximisation({})))
     assert not re.search("Python|Arrow|Pandas", plan._jdf.queryExecution().executedPlan().toString())
