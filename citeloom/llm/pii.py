@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import let, table
+from .common import column, let, table, unused
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "ssn")
@@ -171,17 +171,18 @@ def redacted(text: Column, found: Column) -> Column:
 
 
 def find_pii(docs: DataFrame, text_col: str = "text", out: str = "pii_spans") -> DataFrame:
-    """`docs` with an array column of spans."""
-    return docs.withColumn(out, spans(F.col(text_col)))
+    """`docs` with an array column of spans; a column of that name is replaced."""
+    return docs.withColumn(out, spans(column(text_col)))
 
 
 def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
-    """`docs` with the spans of the text replaced; the length column, if there, follows the text."""
-    out = find_pii(docs, text_col, "__pii").withColumn(text_col, redacted(F.col(text_col), F.col("__pii")))
+    """`docs` with the spans of the text replaced; the length column, if there, follows the text. Nulls, other columns and their names stay as they are."""
+    (found,) = unused(docs, "pii_found")
+    out = find_pii(docs, text_col, found).withColumn(text_col, redacted(column(text_col), F.col(found)))
     if length_col in docs.columns:
         kind = dict(docs.dtypes)[length_col]
-        out = out.withColumn(length_col, F.when(F.size("__pii") > 0, F.length(text_col).cast(kind)).otherwise(F.col(length_col)))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        out = out.withColumn(length_col, F.when(F.size(found) > 0, F.length(column(text_col)).cast(kind)).otherwise(column(length_col)))
+    return out.select(*[column(c) for c in docs.columns])
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
