@@ -42,7 +42,7 @@ CAPACITY = 2048
 END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 #: Segments kept from batch to batch in a worker; when more have come, the store starts anew.
-CACHE_SEGMENTS = 1_000_000
+CACHE_SEGMENTS = 700_000
 #: Pieces to a numbered group at least; a length with many pieces is dealt to as many groups as each then holds.
 GROUP_PIECES = 100
 
@@ -87,12 +87,20 @@ class WordTokenizer:
             for k, p in enumerate(part):
                 self.pieces[p] = raw[ends[k] : ends[k + 1]]
 
+    def _cut(self, segment: str) -> list[str]:
+        """Pieces of a plain segment. The pattern keeps runs of letters whole, which need not be searched."""
+        if segment.isalpha():
+            return [segment if segment.islower() else segment.lower()]
+        if segment[-1:] in (".", ",") and segment[:-1].isalpha():
+            return [segment[:-1].lower(), segment[-1]]
+        return self.pattern.findall(segment.lower())
+
     def _learn(self, new: list[str]) -> None:
         plain, odd = [], []
         for s in new:
             (plain if _PLAIN.fullmatch(s) else odd).append(s)
-        found = [self.pattern.findall(s.lower()) for s in plain]
-        self._learn_pieces(list({p for c in found for p in c}.difference(self.pieces)))
+        found = [self._cut(s) for s in plain]
+        self._learn_pieces(list(set().union(*found).difference(self.pieces)))
         known = self.pieces
         for s, c in zip(plain, found, strict=True):
             self.segments[s] = known[c[0]] if len(c) == 1 else b"".join([known[p] for p in c])
@@ -104,9 +112,7 @@ class WordTokenizer:
         if len(self.segments) > CACHE_SEGMENTS:
             self.segments, self.pieces = {}, {}
         cut = [(t or "").split(" ") for t in texts]
-        new: set[str] = set()
-        for c in cut:
-            new.update(set(c).difference(self.segments))
+        new = set().union(*cut).difference(self.segments)
         if new:
             self._learn(list(new))
         get = self.segments.__getitem__
