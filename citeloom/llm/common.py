@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import ctypes
 import io
 import os
 import tempfile
@@ -47,6 +50,31 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared checkpoint folder."""
+    ensure_checkpoints(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """A wide frame as a Parquet table in the shared checkpoint folder: readers take the columns that they need. Removed when the program ends."""
+    spark = df.sparkSession
+    path = shared_folder(spark, "table")
+    df.write.parquet(path)
+
+    def clean() -> None:
+        with contextlib.suppress(Exception):  # the context may be gone
+            remove(spark, path)
+
+    atexit.register(clean)
+    return spark.read.parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -102,6 +130,13 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def trim() -> None:
+    """Give memory that is free back to the system: workers live on and share an executor with its JVM."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 #: Bytes of text to a portion, so that a run of long texts is not worked on at once.
 PORTION = 8_000_000
 
@@ -126,8 +161,11 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
     ship(df.sparkSession)
 
     def run(batches):
-        for batch in batches:
-            for part in portions(batch, rows):
-                yield fn(part)
+        try:
+            for batch in batches:
+                for part in portions(batch, rows):
+                    yield fn(part)
+        finally:
+            trim()
 
     return df.mapInArrow(run, schema)

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .common import column, cut, map_arrow, maybe_broadcast, ship, table, unused
+from .common import column, cut, map_arrow, maybe_broadcast, ship, table, trim, unused
 from .components import components
 
 WORDS = 5
@@ -267,7 +267,10 @@ def _dedupe_then_verify(rows: pa.Table) -> pa.Table:
     """Rows that were there twice (same id and text) count once."""
     key = rows["grp"].to_numpy().astype(np.int64), rows["node"].to_numpy()
     _, first = np.unique(np.stack(key), axis=1, return_index=True)
-    return _verify_group(rows.take(pa.array(np.sort(first))))
+    try:
+        return _verify_group(rows if len(first) == rows.num_rows else rows.take(pa.array(np.sort(first))))
+    finally:
+        trim()
 
 
 def _linked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

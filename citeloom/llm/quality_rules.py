@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, column, cut, let, table, unused
+from .common import SPACES, column, cut, let, table, unused, written
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -69,8 +69,8 @@ def features(docs: DataFrame, text_col: str = "text", out: str = "__q") -> DataF
     text = F.coalesce(column(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
     n = F.size(w) - (WINDOW - 1)
-    zipped = F.arrays_zip(*[F.slice(w, i + 1, n).alias(f"w{i}") for i in range(WINDOW)])
-    grams = F.when(n > 0, F.transform(zipped, lambda x: F.xxhash64(x))).otherwise(F.array().cast("array<bigint>"))
+    window = lambda x, i: F.xxhash64(x, *[F.get(F.col(w), i + k) for k in range(1, WINDOW)])
+    grams = F.when(n > 0, F.transform(F.slice(w, 1, n), window)).otherwise(F.array().cast("array<bigint>"))
     long = lambda c: c.cast("bigint")
     without = lambda pattern: F.length(F.regexp_replace(text, pattern, ""))
     return (
@@ -179,10 +179,11 @@ def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of `docs` that pass, with their columns; repeated rows and rows without an id are judged like others.
 
     The counts take most of the time and both the fit and the filter need them,
-    so rows and counts are written once to the shared checkpoint folder.
+    so rows and counts are written once to the shared checkpoint folder; the fit
+    reads the counts alone.
     """
     (q,) = unused(docs, "quality_counts")
-    counted = cut(features(docs, text_col, q))
+    counted = written(features(docs, text_col, q))
     return counted.where(kept(fit(counted, q), q)).select(*[column(c) for c in docs.columns])
 
 
