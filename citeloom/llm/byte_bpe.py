@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import map_arrow, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CACHE_PIECES = 700_000
+CACHE_PIECES = 1_100_000
 #: Characters kept for pieces and segments.
 CACHE_CHARS = 150_000_000
 #: Words to a recursive query, and the sum of their squared lengths, as the query makes a row for each token and step.
